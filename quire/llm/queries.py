@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import cutting, encoding, grouping, packing
+from quire.llm import cutting, encoding, grouping, leaks, packing, shapes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_splits": grouping.p6_splits,
         "p6_balance": grouping.p6_balance,
         "p7_ids": encoding.p7_ids,
+        "p8_found": leaks.p8_found,
+        "p8_leaks": leaks.p8_leaks,
+        "p8_items": leaks.p8_items,
+        "p9_found": shapes.p9_found,
+        "p9_shapes": shapes.p9_shapes,
     }
 
 
