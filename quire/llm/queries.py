@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import cutting, encoding, grouping, leaks, packing, shapes
+from quire.llm import cutting, encoding, grouping, leaks, overlaps, packing, shapes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name -> query over the tables of a folder."""
     return {
+        "p1_found": overlaps.p1_found,
+        "p1_classes": overlaps.p1_classes,
+        "p1_counts": overlaps.p1_counts,
         "p3_assignments": packing.p3_assignments,
         "p3_containers": packing.p3_containers,
         "p5_found": cutting.p5_found,
