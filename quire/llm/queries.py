@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import cutting, encoding, grouping, leaks, overlaps, packing, shapes
+from quire.llm import charsets, cutting, encoding, grouping, leaks, overlaps, packing, shapes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_found": overlaps.p1_found,
         "p1_classes": overlaps.p1_classes,
         "p1_counts": overlaps.p1_counts,
+        "p2_found": charsets.p2_found,
+        "p2_restored": charsets.p2_restored,
         "p3_assignments": packing.p3_assignments,
         "p3_containers": packing.p3_containers,
         "p5_found": cutting.p5_found,
