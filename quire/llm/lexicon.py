@@ -79,19 +79,20 @@ class Lexicon:
         for n in sizes:
             parts.append(data[at : at + n])
             at += n
-        self.first, self.final, self.label, self.target, self.skip, self.at, self.flat = parts
+        # views on the block without a copy; only the labels are copied, to bytes, for a search in C
+        self.first, self.final, _, self.target, self.skip, self.at, self.flat = (memoryview(p) for p in parts)
+        self.label = parts[2].astype(np.uint8).tobytes()
 
     def get(self, word: bytes) -> list[int] | None:
         """Ids of a word, None when the lexicon lacks it."""
         state, rank = self.root, 0
-        first, label = self.first, self.label
+        first, find, skip, target = self.first, self.label.find, self.skip, self.target
         for byte in word:
-            a, b = first[state], first[state + 1]
-            i = a + int(np.searchsorted(label[a:b], byte))
-            if i >= b or label[i] != byte:
+            i = find(byte, first[state], first[state + 1])
+            if i < 0:
                 return None
-            rank += int(self.skip[i])
-            state = self.target[i]
+            rank += skip[i]
+            state = target[i]
         return self.flat[self.at[rank] : self.at[rank + 1]].tolist() if self.final[state] else None
 
 
