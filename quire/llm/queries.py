@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import charsets, cutting, encoding, grouping, leaks, overlaps, packing, shapes
+from quire.llm import charsets, cutting, encoding, grouping, leaks, overlaps, packing, scans, shapes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_restored": charsets.p2_restored,
         "p3_assignments": packing.p3_assignments,
         "p3_containers": packing.p3_containers,
+        "p4_found": scans.p4_found,
+        "p4_repaired": scans.p4_repaired,
         "p5_found": cutting.p5_found,
         "p5_pieces": cutting.p5_pieces,
         "p6_found": grouping.p6_found,
