@@ -1 +1 @@
-
+"""Readers from files to blocks, and sinks."""
