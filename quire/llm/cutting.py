@@ -20,6 +20,7 @@ from itertools import accumulate
 from math import sqrt
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +28,8 @@ from quire.functions.tokens import MARK_PRICE, WORD_SURCHARGE
 from quire.llm.items import _key, all_items, budget_of, scene_lengths, scene_members
 from quire.plans.session import read_table
 
-_WORD = re.compile(r"\S+")
-_MARK = re.compile(r"[^\w\s]")
+_WORD = regex.compile(r"\S+")
+_MARK = regex.compile(r"[^\w\s]")
 _SENTENCE_END = re.compile(r"[.!?…][\"'”’»)\]]*$")
 #: Sentences on either side of a gap whose vocabularies are compared.
 BLOCK = 3

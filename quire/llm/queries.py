@@ -37,7 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def _count(text: str) -> str:
     words = rf"len(regexp_extract_all({text}, '[^\s\p{{Z}}\x0B\x{{85}}]+'))"
-    marks = rf"len(regexp_extract_all({text}, '[^\p{{L}}\p{{N}}\p{{M}}\p{{Pc}}\x{{200C}}\x{{200D}}\s\p{{Z}}\x0B\x{{85}}]'))"
+    marks = rf"len(regexp_extract_all({text}, '[^\p{{L}}\p{{Nd}}\p{{Nl}}\p{{M}}\p{{Pc}}\x{{200C}}\x{{200D}}\s\p{{Z}}\x0B\x{{85}}]'))"
     return f"CAST(trunc(coalesce({words}, 0)::DOUBLE + 0.3::DOUBLE * coalesce({words}, 0)::DOUBLE + 0.5::DOUBLE * coalesce({marks}, 0)::DOUBLE) AS INTEGER)"
 
 
