@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,8 +11,8 @@ MAX_SEQ_LEN, RESERVED_TOKENS, CONTENT_BUDGET = 8192, 2, 8190
 #: Surcharge a word, price of a punctuation mark.
 WORD_SURCHARGE, MARK_PRICE = 0.30, 0.5
 
-_WORD = re.compile(r"\S+")
-_MARK = re.compile(r"[^\w\s]")
+_WORD = regex.compile(r"\S+")
+_MARK = regex.compile(r"[^\w\s]")
 
 
 def proxy_tokens(text: Column) -> Column:

@@ -74,7 +74,8 @@ def mark_excluded(books: DataFrame, patterns: list[str]) -> DataFrame:
     fields = F.filter(F.concat(F.array("book_id", "title", "series", "group_key"), names, stems, parents), lambda x: F.coalesce(x, F.lit("")) != "")
     hit = F.lit(None).cast("string")
     for p in reversed(patterns):
-        hit = F.when(F.exists(fields, lambda x, p=p: F.lower(x).rlike(X.glob_to_regex(p.lower()))), F.lit(p)).otherwise(hit)
+        rule = X.glob_to_regex(p.lower())
+        hit = F.when(F.exists(fields, lambda x: F.lower(x).rlike(rule)), F.lit(p)).otherwise(hit)  # noqa: B023, used at once
     return books.withColumn("matched_pattern", hit)
 
 
