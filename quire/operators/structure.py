@@ -1,7 +1,6 @@
 """Lines to blocks, and blocks to the hierarchy of chapters, scenes and paragraphs.
 
-Order is always an explicit column. All steps are windows over segments of a document or book, so long ones are
-spread over several tasks. Null texts are empty paragraphs and vanish; repeated rows of a key count once.
+Order is always an explicit column. Null texts are empty paragraphs and vanish; repeated rows of a key count once.
 """
 
 from __future__ import annotations
@@ -36,15 +35,15 @@ def text_blocks(docs: DataFrame, key: str, text: str = "text", aggressive: bool
         F.when(blank, "blank").when(X.markdown_level(line).isNotNull(), "heading").when(X.is_scene_break(line, aggressive) | numbered_hit, "scene_break")
         .when((F.char_length(stripped) <= 70) & X.is_chapter_line(stripped), "candidate").otherwise("prose")
     )
-    classed = lines.withColumn("cls", cls).withColumn("seg", F.floor(F.col("line_ord") / SEGMENT))
-    prose_mark = F.when(F.col("cls") != "candidate", F.struct("line_ord", (F.col("cls") == "prose").alias("p")))
-    marked = running(classed, [key], ["line_ord"], "seg", last=("max", prose_mark))
-    opened = F.coalesce(F.col("last.p"), F.lit(False))
+    # a document came as one row, so a window over its lines holds no more than that
+    upto = W.partitionBy(key).orderBy("line_ord").rowsBetween(W.unboundedPreceding, 0)
+    marked = lines.withColumn("cls", cls)
+    opened = F.coalesce(F.last(F.when(F.col("cls") != "candidate", F.col("cls") == "prose"), ignorenulls=True).over(upto), F.lit(False))
     kind = F.when(F.col("cls") == "candidate", F.when(opened, "prose").otherwise("heading")).otherwise(F.col("cls"))
-    marked = marked.withColumn("kind", kind).drop("last")
-    # a paragraph starts at prose whose line before is none; the last line of any kind is a running maximum
-    prev = running(marked, [key], ["line_ord"], "seg", other=("max", F.when(F.col("kind") != "prose", F.col("line_ord"))))
-    starts = prev.withColumn("run", F.when(F.col("kind") == "prose", F.coalesce("other", F.lit(-1)) + 1).otherwise(F.col("line_ord")))
+    marked = marked.withColumn("kind", kind)
+    # a paragraph starts at prose whose line before is none
+    other = F.max(F.when(F.col("kind") != "prose", F.col("line_ord"))).over(upto)
+    starts = marked.withColumn("run", F.when(F.col("kind") == "prose", F.coalesce(other, F.lit(-1)) + 1).otherwise(F.col("line_ord")))
     body = starts.where("kind <> 'blank'").groupBy(key, "kind", F.col("run").alias("start")).agg(F.array_sort(F.collect_list(F.struct("line_ord", "line"))).alias("ls"))  # the lines of one paragraph
     raw = F.array_join(F.transform("ls", lambda x: x["line"]), "\n")
     joined = F.array_join(F.transform(F.split(X.dehyphenate(raw), "\n"), lambda x: X.trim_space(x)), " ")
@@ -56,8 +55,7 @@ def text_blocks(docs: DataFrame, key: str, text: str = "text", aggressive: bool
         F.when(F.col("kind") == "prose", paragraph).when(F.col("kind") == "heading", heading).otherwise(F.lit("")).alias("text"),
         F.when(F.col("kind") == "heading", F.coalesce(X.markdown_level(first), F.lit(1))).otherwise(0).alias("level"),
     ).where("kind = 'scene_break' or text <> ''")
-    numbered_rows = running(got.withColumn("seg", F.floor(F.col("start") / SEGMENT)), [key], ["start"], "seg", n=("sum", F.lit(1)))
-    return numbered_rows.select(key, (F.col("n") - 1).cast("long").alias("block_ord"), "kind", "text", "level")
+    return got.select(key, (F.row_number().over(W.partitionBy(key).orderBy("start")) - 1).cast("long").alias("block_ord"), "kind", "text", "level")
 
 
 def drop_running_heads(blocks: DataFrame, titles: DataFrame) -> DataFrame:
@@ -69,15 +67,52 @@ def drop_running_heads(blocks: DataFrame, titles: DataFrame) -> DataFrame:
     return kept.where(~F.coalesce(bad, F.lit(False))).drop("_title")
 
 
-def hierarchy(blocks: DataFrame) -> DataFrame:
-    """book_id, chapter_index, scene_index, block_ord, kind ('chapter_heading', 'scene_heading', 'paragraph'), text.
+#: Rows of a book up to which its windows run in one task.
+WHOLE = 500_000
+
+
+def hierarchy(blocks: DataFrame, segmented: bool | None = None) -> DataFrame:
+    """book_id, chapter_index, scene_index, block_ord, kind ('chapter_heading', 'scene_heading', 'paragraph'), text, paragraph_index.
 
     A heading of level 1 opens a chapter only after prose since the last one; a scene opens at a chapter's first
     content, at a heading after a paragraph, and at a paragraph that a separator parts from the one before.
+    Both forms give the same rows: windows over whole books share one shuffle and one sort; once any book has more
+    than WHOLE rows (segmented: None looks), windows over segments spread it over many tasks.
     """
+    if segmented is None:
+        most = blocks.groupBy("book_id").count().agg(F.max("count")).first()[0]
+        segmented = (most or 0) > WHOLE
     one = blocks.where("book_id is not null and block_ord is not null").groupBy("book_id", "block_ord").agg(F.max_by(F.struct("kind", "text", "level"), F.struct("kind", F.coalesce("text", F.lit("")))).alias("b"))
     b = one.select("book_id", "block_ord", "b.kind", F.coalesce("b.text", F.lit("")).alias("text"), F.coalesce("b.level", F.lit(0)).alias("level"))
     b = b.where("kind <> 'paragraph' or trim(text) <> ''").withColumn("seg", F.floor(F.col("block_ord") / SEGMENT))
+    return _by_segments(b) if segmented else _by_books(b)
+
+
+def _by_books(b: DataFrame) -> DataFrame:
+    is_p, is_h = F.col("kind") == "paragraph", F.col("kind") == "heading"
+    top = is_h & (F.col("level") <= 1)
+    w = W.partitionBy("book_id").orderBy("block_ord")
+    upto, earlier = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(W.unboundedPreceding, -1)
+    b = b.withColumn("paras", F.sum(is_p.cast("int")).over(upto))
+    b = b.withColumn("opens", top & (F.col("paras") > F.coalesce(F.max(F.when(top, F.col("paras"))).over(earlier), F.lit(0))))
+    b = b.withColumn("chapter", F.sum(F.col("opens").cast("int")).over(upto)).withColumn("broke", F.max(F.when(F.col("kind") == "scene_break", F.col("block_ord"))).over(upto))
+    content = is_p | (is_h & (F.col("level") > 1))
+    q = F.last(F.when(content, F.struct("block_ord", "kind", "chapter")), ignorenulls=True).over(earlier)
+    b = b.where("kind <> 'scene_break'").withColumn("q", q)
+    first = F.col("q").isNull() | (F.col("q.chapter") != F.col("chapter"))
+    new = content & (first | (is_h & (F.col("q.kind") == "paragraph")) | (is_p & (F.col("q.kind") == "paragraph") & F.coalesce(F.col("broke") > F.col("q.block_ord"), F.lit(False))))
+    named = top & (F.trim("text") != "")
+    c = W.partitionBy("book_id", "chapter")
+    b = b.withColumn("new", new.cast("int")).withColumn("alive", F.max((content | named).cast("int")).over(c)).where("alive = 1")
+    b = b.withColumn("scene", F.sum("new").over(c.orderBy("block_ord").rowsBetween(W.unboundedPreceding, 0)) - 1)
+    dense = F.dense_rank().over(W.partitionBy("book_id").orderBy("chapter")) - 1
+    return b.select(
+        "book_id", dense.cast("int").alias("chapter_index"), F.when(~top, F.col("scene")).cast("int").alias("scene_index"), "block_ord",
+        F.when(top, "chapter_heading").when(is_p, "paragraph").otherwise("scene_heading").alias("kind"), "text", F.when(is_p, F.col("paras") - 1).cast("int").alias("paragraph_index"),
+    )
+
+
+def _by_segments(b: DataFrame) -> DataFrame:
     is_p = F.col("kind") == "paragraph"
     top = (F.col("kind") == "heading") & (F.col("level") <= 1)
     counted = running(b, ["book_id"], ["block_ord"], "seg", paras=("sum", is_p.cast("int")))
@@ -100,24 +135,23 @@ def hierarchy(blocks: DataFrame) -> DataFrame:
     linked = rows.join(before, (F.col("book_id") == F.col("qb")) & (F.col("nth") == F.col("qn")), "left")
     first = F.col("q_ord").isNull() | (F.col("q_chapter") != F.col("chapter_index"))
     new = first | ((F.col("kind") == "heading") & (F.col("q_kind") == "paragraph")) | (is_p & (F.col("q_kind") == "paragraph") & F.coalesce(F.col("broke") > F.col("q_ord"), F.lit(False)))
-    scened = running(linked.select("book_id", "block_ord", "seg", "kind", "text", "chapter_index", new.cast("int").alias("new"), first.alias("first")), ["book_id"], ["block_ord"], "seg", scenes=("sum", F.col("new")))
+    scened = running(linked.select("book_id", "block_ord", "seg", "kind", "text", "paras", "chapter_index", new.cast("int").alias("new"), first.alias("first")), ["book_id"], ["block_ord"], "seg", scenes=("sum", F.col("new")))
     bases = scened.where("first").select("book_id", "chapter_index", F.col("scenes").alias("from"))
     placed = scened.join(bases, ["book_id", "chapter_index"]).select(
         "book_id", "chapter_index", (F.col("scenes") - F.col("from")).cast("int").alias("scene_index"), "block_ord", F.when(is_p, "paragraph").otherwise("scene_heading").alias("kind"), "text",
+        F.when(is_p, F.col("paras") - 1).cast("int").alias("paragraph_index"),
     )
-    titles = chaptered.where(top).select("book_id", "chapter_index", F.lit(None).cast("int").alias("scene_index"), "block_ord", F.lit("chapter_heading").alias("kind"), "text")
+    titles = chaptered.where(top).select("book_id", "chapter_index", F.lit(None).cast("int").alias("scene_index"), "block_ord", F.lit("chapter_heading").alias("kind"), "text", F.lit(None).cast("int").alias("paragraph_index"))
     got = placed.unionByName(titles)
     # chapters without scenes and without a title vanish; the others are counted without holes
     alive = got.where("kind <> 'chapter_heading' or trim(text) <> ''").select("book_id", "chapter_index").distinct()
     dense = alive.withColumn("dense", F.row_number().over(W.partitionBy("book_id").orderBy("chapter_index")) - 1)
-    return got.join(dense, ["book_id", "chapter_index"]).select("book_id", F.col("dense").cast("int").alias("chapter_index"), "scene_index", "block_ord", "kind", "text")
+    return got.join(dense, ["book_id", "chapter_index"]).select("book_id", F.col("dense").cast("int").alias("chapter_index"), "scene_index", "block_ord", "kind", "text", "paragraph_index")
 
 
 def paragraphs_of(tree: DataFrame) -> DataFrame:
     """book_id, chapter_index, scene_index, paragraph_index, text: paragraphs counted through the book."""
-    p = tree.where("kind = 'paragraph'").withColumn("seg", F.floor(F.col("block_ord") / SEGMENT))
-    n = running(p, ["book_id"], ["block_ord"], "seg", n=("sum", F.lit(1)))
-    return n.select("book_id", "chapter_index", "scene_index", (F.col("n") - 1).cast("int").alias("paragraph_index"), "text", "block_ord")
+    return tree.where("kind = 'paragraph'").select("book_id", "chapter_index", "scene_index", "paragraph_index", "text", "block_ord")
 
 
 def scenes_of(tree: DataFrame) -> DataFrame:

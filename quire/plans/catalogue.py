@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as X
 from quire.functions.tokens import CONTENT_BUDGET, proxy_tokens, word_count
 from quire.operators import checks, packing, running, splits, stats, structure
-from quire.plans.session import cut_lineage, read_table
+from quire.plans.session import read_table
 from quire.sources.files import mark_excluded
 
 FLAGSHIP = "proxy_tokens"
@@ -110,9 +110,9 @@ def running_heads(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    tree = cut_lineage(_tree(spark, d))
+    tree = _tree(spark, d)
     books = read_table(spark, d, "book_specs").select("book_id", "title", F.col("sources").alias("source_files"))
-    return packing.pack(packing.with_paragraph_index(tree), books, SMALL)
+    return packing.pack(tree, books, SMALL)
 
 
 def pack_chunks(spark: SparkSession, d: str) -> DataFrame:

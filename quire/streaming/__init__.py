@@ -1 +1 @@
-
+"""Incremental forms: new rows or files as they arrive."""
