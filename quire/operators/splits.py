@@ -40,4 +40,4 @@ def assign_splits(chunks: DataFrame, mode: str = "book", fraction: float = 0.1,
     if mode != "book":
         raise ValueError(f"unknown split mode {mode!r}")
     val = (val_books if val_books is not None else choose_val_books(chunks, fraction)).select("book_id", F.lit(True).alias("_val"))
-    return chunks.join(val, "book_id", "left").withColumn("split", F.when(F.col("_val"), "val").otherwise("train")).drop("_val")
+    return chunks.join(val, "book_id", "left").select(*chunks.columns, F.when(F.col("_val"), "val").otherwise("train").alias("split"))
