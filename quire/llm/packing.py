@@ -26,7 +26,7 @@ from quire.llm.items import all_items, budget_of
 from quire.plans.session import cut_lineage
 
 #: Length classes of the program, units the capacity is divided into at most, step of the weights.
-CLASSES, UNITS, STEP = 96, 1024, 0.05
+CLASSES, UNITS, STEP = 96, 1024, 0.1
 
 
 def length_classes(lengths: np.ndarray, counts: np.ndarray, most: int = CLASSES) -> np.ndarray:
