@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from pathlib import Path
 
@@ -34,9 +36,11 @@ def shared_dir(spark: SparkSession) -> str:
         return held.get()
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    own = "file://" + tempfile.mkdtemp(prefix="quire-")
-    sc.setCheckpointDir(own)
-    return own
+    folder = tempfile.mkdtemp(prefix="quire-")
+    atexit.register(shutil.rmtree, folder, True)
+    sc._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # files go with their relation
+    sc.setCheckpointDir(f"file://{folder}")
+    return f"file://{folder}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
