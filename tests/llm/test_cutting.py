@@ -1,5 +1,5 @@
 import pytest
-from conftest import BUDGETS, CHUNKS, PARAGRAPHS, SCENES, WORDS
+from tables import BUDGETS, CHUNKS, PARAGRAPHS, SCENES, WORDS
 
 from quire.functions.tokens import proxy_tokens_py as price
 from quire.llm import cutting as c

@@ -1,4 +1,4 @@
-from conftest import WORDS
+from tables import WORDS
 
 from quire.llm import leaks as k
 

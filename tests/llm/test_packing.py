@@ -1,5 +1,5 @@
 import numpy as np
-from conftest import BUDGETS, CHUNKS, PARAGRAPHS, SCENES
+from tables import BUDGETS, CHUNKS, PARAGRAPHS, SCENES
 
 from quire.llm import packing as p
 from quire.llm.items import all_items
