@@ -297,7 +297,21 @@ def oracle_sql() -> dict[str, str]:
     globs = " ".join(f"WHEN list_bool_or(list_transform(fields, lambda x: regexp_matches(lower(x), '{X.glob_to_regex(p.lower()).replace('(?is)', '(?s)')}'))) THEN '{p}'" for p in PATTERNS)
     val = f"(SELECT book_id FROM (SELECT book_id, row_number() OVER (ORDER BY {unit.format('book_id')}, book_id) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT book_id FROM {{src}} WHERE book_id IS NOT NULL)) WHERE r <= least(greatest(1, round_even(n * 0.1::DOUBLE, 0)), n - 1))"
     pct = ", ".join(f"min(CASE WHEN r - 1 = round_even({p / 100.0}::DOUBLE * (n - 1)::DOUBLE, 0) THEN t END) AS p{p:02d}" for p in stats.PERCENTILES)
+    w = "WINDOW w AS (PARTITION BY doc_id ORDER BY o ROWS UNBOUNDED PRECEDING)"
+    dehyphen = rf"regexp_replace(raw, '({_W})-\n({_W})', '\1\2', 'g')"
+    body = f"list_aggregate(list_transform(string_split({dehyphen}, chr(10)), lambda x: {_trim('x')}), 'string_agg', ' ')"
+    head = f"CASE WHEN regexp_matches(first, '{md}') THEN regexp_extract(first, '{md}', 2) ELSE first END"
+    document_blocks = f"""WITH l AS (SELECT doc_id, unnest(string_split({_newlines('text')}, chr(10))) AS line, generate_subscripts(string_split({_newlines('text')}, chr(10)), 1) - 1 AS o FROM documents WHERE text IS NOT NULL),
+        c AS (SELECT *, CASE WHEN {line} = '' THEN 'blank' WHEN regexp_matches(line, '{md}') THEN 'heading' WHEN {brk} THEN 'scene_break' WHEN len({line}) <= 70 AND regexp_matches({line}, '{chapter}') THEN 'candidate' ELSE 'prose' END AS cls FROM l),
+        m AS (SELECT *, coalesce(last_value(CASE WHEN cls <> 'candidate' THEN cls = 'prose' END IGNORE NULLS) OVER w, false) AS opened FROM c {w}),
+        k AS (SELECT *, CASE WHEN cls = 'candidate' THEN CASE WHEN opened THEN 'prose' ELSE 'heading' END ELSE cls END AS kind FROM m),
+        r AS (SELECT *, CASE WHEN kind = 'prose' THEN coalesce(max(CASE WHEN kind <> 'prose' THEN o END) OVER w, -1) + 1 ELSE o END AS run FROM k {w}),
+        b AS (SELECT doc_id, kind, run, string_agg(line, chr(10) ORDER BY o) AS raw, min_by(line, o) AS first FROM r WHERE kind <> 'blank' GROUP BY doc_id, kind, run),
+        t AS (SELECT doc_id, run, CASE kind WHEN 'prose' THEN 'paragraph' ELSE kind END AS kind, CASE kind WHEN 'prose' THEN {_clean(body)} WHEN 'heading' THEN {_trim(f"regexp_replace({_clean(head)}, '^[ .—–-]+|[ .—–-]+$', '', 'g')")} ELSE '' END AS text,
+            CASE WHEN kind <> 'heading' THEN 0 WHEN regexp_matches(first, '{md}') AND len(regexp_extract(first, '{md}', 1)) > 2 THEN 2 ELSE 1 END AS level FROM b)
+        SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS block_ord, kind, text, level FROM t WHERE kind = 'scene_break' OR text <> ''"""
     q = {
+        "document_blocks": document_blocks,
         "proxy_tokens": f"SELECT doc_id, {sql_tokens('text')} AS n_tokens FROM documents",
         "doc_words": f"SELECT doc_id, coalesce(len(regexp_extract_all(text, '{_NOT_S}+')), 0)::INTEGER AS n_words FROM documents",
         "doc_lines": f"SELECT doc_id, (generate_subscripts(string_split({_newlines('text')}, chr(10)), 1) - 1)::INTEGER AS line_ord, unnest(string_split({_newlines('text')}, chr(10))) AS line FROM documents WHERE text IS NOT NULL",
