@@ -31,7 +31,7 @@ from quire.plans.session import read_table
 #: Words a term; passages a block of postings; passages an index; BM25's k1 and b; score and share of words needed.
 TERM, POSTINGS, ITEM_BLOCK, K1, B, THRESHOLD, SHARE = 5, 16, 20_000, 1.2, 0.75, 0.03, 0.4
 #: Matched words a stretch needs (two phrases of everyday language are no leak), and words that must match beside a changed one.
-STRETCH, FLANK = 10, 4
+STRETCH, FLANK = 10, 6
 _TAG = re.compile(r"<[^<>]*>|\]\([^)\s]*\)")
 _WORD = re.compile(r"[^\W_]+")
 
