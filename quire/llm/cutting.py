@@ -24,9 +24,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.tokens import MARK_PRICE, WORD_SURCHARGE
-from quire.llm.items import _key, all_items, budget_of, scene_lengths, scene_members
-from quire.plans.session import read_table
+from quire.functions.tokens import MARK_PRICE, WORD_SURCHARGE, proxy_tokens
+from quire.llm.items import _key, budget_of, scene_lengths, scene_members
+from quire.plans.session import cut_lineage, read_table, small_broadcast
 
 _WORD = regex.compile(r"\S+")
 _MARK = regex.compile(r"[^\w\s]")
@@ -120,7 +120,10 @@ def cut_text(text: str | None, capacity: int, overlap: int) -> list[tuple[int, i
 
 
 def cut_items(items: DataFrame, budgets: dict[str, tuple[int, int, int]]) -> DataFrame:
-    """Pieces of items (item_level, item_key, text), one row each; rows stay where they are, nothing is shuffled."""
+    """Pieces of items (item_level, item_key, text), one row each; rows stay where they are, nothing is shuffled.
+
+    An item without text gives one row without piece, so that no item is lost.
+    """
     schema = "item_level string, item_key string, piece_index int, n_pieces int, char_start int, char_end int, n_tokens int, overlap_tokens int, text string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,53 +132,44 @@ def cut_items(items: DataFrame, budgets: dict[str, tuple[int, int, int]]) -> Dat
             for level, key, text in zip(batch["item_level"], batch["item_key"], batch["text"]):
                 capacity, overlap, _ = budgets[level]
                 pieces = cut_text(text, capacity, overlap)
-                rows += [(level, key, i, len(pieces), a, b, t, o, text[a:b]) for i, (a, b, t, o) in enumerate(pieces)]
+                rows += [(level, key, i, len(pieces), a, b, t, o, text[a:b]) for i, (a, b, t, o) in enumerate(pieces)] or [(level, key, 0, 0, 0, 0, 0, 0, None)]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     return items.select("item_level", "item_key", "text").mapInPandas(run, schema)
 
 
 def oversized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """item_level, item_key of the items dearer than the capacity for task cut."""
-    budgets = budget_of(spark, sf_dir, "cut")
-    over = F.lit(False)
-    for level, (capacity, _, _) in budgets.items():
-        over = over | ((F.col("item_level") == level) & (F.col("n") > capacity))
-    return all_items(spark, sf_dir).where(over)
-
-
-def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of the oversized items; each key once."""
-    return oversized(spark, sf_dir).select("item_level", "item_key")
-
-
-def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces of every oversized item, with their texts."""
-    from quire.functions.tokens import proxy_tokens
+    """item_level, item_key, text of the items that count more than the capacity for task cut.
 
+    A scene's text is that of its paragraphs; only paragraphs of oversized scenes are fetched, by a broadcast of their
+    keys while those are counted to be few, else by a join.
+    """
     budgets = budget_of(spark, sf_dir, "cut")
     paragraphs, scenes, chunks = (read_table(spark, sf_dir, t) for t in ("paragraphs", "scenes", "chunks"))
-    parts = []
+    items = spark.createDataFrame([], "item_level string, item_key string, text string")
     if "paragraph" in budgets:
         p = paragraphs.where(proxy_tokens(F.col("text")) > budgets["paragraph"][0]).groupBy("book_id", "paragraph_index").agg(F.max("text").alias("text"))
-        parts.append(p.select(F.lit("paragraph").alias("item_level"), _key("book_id", "paragraph_index").alias("item_key"), "text"))
+        items = items.unionByName(p.select(F.lit("paragraph").alias("item_level"), _key("book_id", "paragraph_index").alias("item_key"), "text"))
     if "chunk" in budgets:
         c = chunks.where(proxy_tokens(F.col("text")) > budgets["chunk"][0]).groupBy("id").agg(F.max("text").alias("text"))
-        parts.append(c.select(F.lit("chunk").alias("item_level"), F.coalesce("id", F.lit("")).alias("item_key"), "text"))
+        items = items.unionByName(c.select(F.lit("chunk").alias("item_level"), F.coalesce("id", F.lit("")).alias("item_key"), "text"))
     if "scene" in budgets:
         keys = ["book_id", "chapter_index", "scene_index"]
         big = scene_lengths(scenes, paragraphs).where(F.col("n") > budgets["scene"][0]).select(*keys)
-        texts = paragraphs.groupBy("book_id", "paragraph_index").agg(F.max("text").alias("text"))
-        s = (
-            scene_members(scenes)
-            .join(big, keys, "left_semi")
-            .join(texts, ["book_id", "paragraph_index"])
-            .groupBy(*keys)
-            .agg(F.array_sort(F.collect_list(F.struct("paragraph_index", "text"))).alias("ps"))
-            .select(F.lit("scene").alias("item_level"), _key(*keys).alias("item_key"), F.array_join(F.transform("ps", lambda x: F.coalesce(x["text"], F.lit(""))), "\n\n").alias("text"))
-        )
-        parts.append(s)
-    items = parts[0]
-    for p in parts[1:]:
-        items = items.unionByName(p)
-    return cut_items(items, budgets)
+        member = cut_lineage(scene_members(scenes).join(big, keys, "left_semi").select(*keys, "paragraph_index"))
+        wanted = member.select("book_id", "paragraph_index").distinct()
+        texts = paragraphs.join(small_broadcast(wanted, member.count()), ["book_id", "paragraph_index"]).groupBy("book_id", "paragraph_index").agg(F.max("text").alias("text"))
+        s = member.join(texts, ["book_id", "paragraph_index"], "left").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("paragraph_index", "text"))).alias("ps"))  # the paragraphs of one scene
+        text = F.array_join(F.transform("ps", lambda x: F.coalesce(x["text"], F.lit(""))), "\n\n")
+        items = items.unionByName(s.select(F.lit("scene").alias("item_level"), _key(*keys).alias("item_key"), text.alias("text")))
+    return items
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the items that were cut; each key once."""
+    return p5_pieces(spark, sf_dir).select("item_level", "item_key").distinct()
+
+
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every oversized item, with their texts."""
+    return cut_items(oversized(spark, sf_dir), budget_of(spark, sf_dir, "cut"))
