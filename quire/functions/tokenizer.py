@@ -103,7 +103,7 @@ def _load(path: Path):
     return "tokenizer.json", encode, *_probe(encode)
 
 
-def find_vocabulary(names: tuple[str, ...] = ("tekken.json", "tokenizer.json")) -> Path | None:
+def find_vocabulary(names: tuple[str, ...] = ("tokenizer.json",)) -> Path | None:
     """The first vocabulary at the usual places."""
     for variable, below in SEARCH:
         root = os.environ.get(variable)

@@ -135,3 +135,36 @@ def test_stream(spark, tmp_path):
     q.stop()
     (row,) = spark.table("totals").collect()
     assert (row["source"], row["n_docs"], row["n_tokens"]) == ("a", 2, 2)
+
+
+def test_sql_face(spark, built, library):
+    from quire.plans import sql
+
+    sql.register(spark)
+    spark.read.format("binaryFile").load([str(library / "tale.txt"), str(library / "broken.mobi"), str(library / "note.docx")]).createOrReplaceTempView("raw_files")
+    got = spark.sql("select path, b.* from raw_files, lateral extract_blocks(path, content) b").collect()
+    assert {r["kind"] for r in got} == {"heading", "paragraph", "scene_break", None} and [r["error"] for r in got if r["error"]][0].startswith("KindleError")
+    assert spark.sql("select token_count('one two three four'), token_count(null)").first()[:] == (5, 0)
+    assert "chunks" in sql.views(built) and spark.table("chunks").count() == built.stats["dataset"]["chunks"]
+
+
+def test_example_files():
+    root = Path(__file__).resolve().parents[1] / "configs"
+    assert cli.recipe_defaults(str(root / "recipe.example.yaml"))["max_seq_len"] == 8192
+    assert len(yaml.safe_load((root / "manifest.example.yaml").read_text())["books"]) == 2
+
+
+def test_optional_unpacker(monkeypatch, tmp_path):
+    import sys
+    import types
+
+    from quire.sources import kindle
+
+    def extract(path):
+        (tmp_path / "x").mkdir(exist_ok=True)
+        (tmp_path / "x" / "b.epub").write_bytes(epub({"c.xhtml": "<h2>One</h2><p>some words</p>"}, "Inner"))
+        return str(tmp_path / "x"), str(tmp_path / "x" / "b.epub")
+
+    monkeypatch.setitem(sys.modules, "mobi", types.SimpleNamespace(extract=extract))
+    (doc,) = kindle.kindle_documents(mobi(b"x", version=8, author="Ann"), "a.azw3", "a")
+    assert doc.meta["title"] == "Inner" and doc.meta["author"] == "Ann" and doc.blocks[1][1] == "some words"
