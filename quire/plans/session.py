@@ -54,6 +54,22 @@ def small_broadcast(df: DataFrame, rows: int, limit_rows: int = 200_000) -> Data
     return F.broadcast(df) if rows <= limit_rows else df
 
 
+def most_frequent(counts: DataFrame, size: int, count: str = "n") -> DataFrame:
+    """The rows of the largest counts, at most `size`: as many whole steps of counts as fit.
+
+    A top-n would send n rows of every partition to the driver. Steps of the logarithm, of which there are at most
+    some hundreds, tell the count from which the rows fit, and only those are kept. Read counts from a cut lineage.
+    """
+    step = F.floor(F.log2(F.col(count).cast("double")) * 16)
+    total, floor = 0, None
+    for r in sorted(counts.where(F.col(count) > 0).groupBy(step.alias("step")).agg(F.count("*").alias("k")).collect(), key=lambda r: -r["step"]):
+        total += r["k"]
+        if total > size:
+            break
+        floor = r["step"]
+    return counts.where(F.col(count) > 0).where(step >= floor) if floor is not None else counts.limit(0)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 
