@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm.lexicon import Lexicon, compile_lexicon, merge_word
-from quire.plans.session import read_table, shared_dir
+from quire.plans.session import cut_lineage, most_frequent, read_table, shared_dir
 
 #: Where the public vocabularies are; words in the transducer; units a worker remembers.
 TOKENIZERS = os.environ.get("QUIRE_TOKENIZERS", "/opt/tokenizers")
@@ -115,8 +115,8 @@ def _flush(units: Counter, got: Counter, words) -> Iterator[pa.RecordBatch]:
 
 
 def build_lexicon(texts: DataFrame, ranks: dict[bytes, int], size: int = LEXICON) -> bytes:
-    """The compiled `size` most frequent words (ties by the word); a bounded number of rows comes to the driver."""
-    top = count_words(texts).orderBy(F.desc("n"), "word").limit(size).select("word").toPandas()["word"]
+    """The compiled most frequent words, at most `size`, all of a count or none; no more rows come to the driver."""
+    top = most_frequent(cut_lineage(count_words(texts)), size).select("word").toPandas()["word"]
     return compile_lexicon((w.encode(), tuple(merge_word(w.encode(), ranks))) for w in top)
 
 
