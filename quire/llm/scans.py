@@ -454,8 +454,38 @@ def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = rows.groupBy(*keys).agg(F.first("damage").alias("damage"), F.max("repaired").alias("repaired"), F.max("furniture").alias("furniture"))
     hit = own.join(halves, keys, "left").where("size(damage) > 0 or joins or joined").join(texts, keys)
     hit = hit.withColumn("body", F.coalesce("repaired", F.trim(F.regexp_replace("text", r"\s*\n\s*", " "))))
-    rest = hit.select("rec_table", "book_id", F.col("rec_ord").alias("next_ord"), F.col("body").alias("rest"))
-    kinds = F.array_distinct(F.concat("damage", F.when(F.coalesce("joins", F.lit(False)) | F.coalesce("joined", F.lit(False)), F.array(F.lit("cut"))).otherwise(F.array().cast("array<string>"))))
-    word_cut = F.col("body").rlike(r"[^\W\d_][-¬\xad]$")
-    whole = F.when(F.col("rest").isNull(), F.col("body")).when(word_cut, F.concat(F.regexp_replace("body", r"[-¬\xad]$", ""), "rest")).otherwise(F.concat_ws(" ", "body", "rest"))
-    return hit.join(rest, ["rec_table", "book_id", "next_ord"], "left").select(*keys, kinds.alias("damage"), F.when(F.coalesce("joined", F.lit(False)) | F.col("furniture"), F.lit("")).otherwise(whole).alias("repaired"))
+    joins, joined = F.coalesce("joins", F.lit(False)), F.coalesce("joined", F.lit(False))
+    kinds = F.array_distinct(F.concat("damage", F.when(joins | joined, F.array(F.lit("cut"))).otherwise(F.array().cast("array<string>"))))
+    out = hit.select(*keys, kinds.alias("damage"), "body", "furniture", joins.alias("joins"), joined.alias("joined"), "next_ord")
+    # a run of joined neighbours stands on its first record
+    firsts = run_starts(out.where("joins or joined").select(*keys, "joined", "next_ord"))
+    parts = out.where("joins or joined").select(*keys, "body").join(firsts, keys)
+    whole = parts.groupBy("rec_table", "book_id", "start").agg(F.sort_array(F.collect_list(F.struct("rec_ord", "body"))).alias("parts")).select("rec_table", "book_id", F.col("start").alias("rec_ord"), joined_text(F.col("parts")).alias("whole"))
+    return out.join(whole, keys, "left").select(*keys, "damage", F.when(F.col("joined") | F.col("furniture"), F.lit("")).otherwise(F.coalesce("whole", "body")).alias("repaired"))
+
+
+def run_starts(halves: DataFrame) -> DataFrame:
+    """rec_table, book_id, rec_ord, start: the first record of each run of joined neighbours.
+
+    Runs are numbered inside ranges of RANGE order numbers, then those that go on over a range's end are
+    numbered over ranges; no window holds more than a range's records or a book's ranges that open with a joined record.
+    """
+    part = ["rec_table", "book_id"]
+    r = halves.withColumn("range", F.floor(F.col("rec_ord") / RANGE))
+    w = W.partitionBy(*part, "range").orderBy("rec_ord").rowsBetween(W.unboundedPreceding, 0)
+    r = r.withColumn("own", F.last(F.when(~F.col("joined"), F.col("rec_ord")), ignorenulls=True).over(w))
+    # the last start up to the end of each range that has one, for the ranges whose first records have none
+    ends = r.groupBy(*part, "range").agg(F.max("own").alias("end"))
+    before = W.partitionBy(*part).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    ends = ends.withColumn("carried", F.last("end", ignorenulls=True).over(before)).select(*part, "range", "carried")
+    return r.join(ends, [*part, "range"]).select(*part, "rec_ord", F.coalesce("own", "carried", "rec_ord").alias("start"))
+
+
+def joined_text(parts: F.Column) -> F.Column:
+    """The bodies of a run in order; a word cut at an end goes on without its hyphen."""
+
+    def add(text: F.Column, part: F.Column) -> F.Column:
+        body = part["body"]
+        return F.when(text == "", body).when(body == "", text).when(text.rlike(r"[^\W\d_][-¬\xad]$"), F.concat(F.regexp_replace(text, r"[-¬\xad]$", ""), body)).otherwise(F.concat_ws(" ", text, body))
+
+    return F.aggregate(parts, F.lit(""), add)

@@ -55,3 +55,17 @@ def test_titles_in_a_join(spark, tables, monkeypatch):
     want = {tuple(r) for r in s.p4_found(spark, tables).collect()}
     monkeypatch.setattr(s, "TITLES", 0)
     assert {tuple(r) for r in s.p4_found(spark, tables).collect()} == want
+
+
+def test_chain_of_cut_paragraphs(spark, folder):
+    parts = ["She had never promised the", "treaty to anybody but her", "brother in the vil-", "lage near the harbor."]
+    rows = [(b, at + i, "paragraph", p) for b, at in (("chain", 10), ("range", s.RANGE - 2), ("range", 3000)) for i, p in enumerate(parts)]
+    rows += [("long", i, "paragraph", f"and then they walked {i}x on" if i else "And so they went on") for i in range(2 * s.RANGE + 9)] + [("long", 2 * s.RANGE + 9, "paragraph", "to the harbor.")]
+    rows += [(f"b{b}", i, "paragraph", t) for b in range(8) for i, t in enumerate(CLEAN * 4)]
+    d = folder(blocks=(rows, BLOCKS), paragraphs=([], PARAS), book_specs=([], BOOKS))
+    got = {(r["book_id"], r["rec_ord"]): r["repaired"] for r in s.p4_repaired(spark, d).collect()}
+    for b, at in (("chain", 10), ("range", s.RANGE - 2), ("range", 3000)):
+        assert [got[b, at + i] for i in range(4)] == ["She had never promised the treaty to anybody but her brother in the village near the harbor.", "", "", ""]
+    whole = got["long", 0].split()
+    assert [w for w in whole if w.endswith("x")] == [f"{i}x" for i in range(1, 2 * s.RANGE + 9)] and whole[-1] == "harbor."
+    assert all(not t for (b, i), t in got.items() if b == "long" and i)
