@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import log
 
 import pandas as pd
@@ -71,8 +71,7 @@ def titled(line: str) -> bool:
 
 def is_shouted(text: str) -> bool:
     """Whether most letters are capitals; such a text says nothing by them."""
-    start = text[:300]
-    return 2 * len(_UPPER.findall(start)) > len(_LETTER.findall(start))
+    return 2 * len(_UPPER.findall(text)) > len(_LETTER.findall(text))
 
 
 def bare_title(line: str) -> bool:
@@ -253,33 +252,41 @@ class Reader:
     def without_head(self, body: str, head: str, damage: set[str]) -> str:
         """A text without the running head that line joining left in it."""
         pattern = r"(?:\d{1,4}\s+)?" + r"[\W_]+".join(map(re.escape, head.split())) + r"(?:\s*[|·]?\s*\d{1,4}\b)?"
-        for m in re.finditer(pattern, body, re.I):
-            if titled(re.sub(r"[\d|·]", "", m.group()).strip()) and (m.start() > 0 or m.end() < len(body)):
-                damage.add("head")
-                return (body[: m.start()] + body[m.end() :]).replace("  ", " ")
-        return body
+
+        def is_head(m: re.Match) -> bool:
+            return titled(re.sub(r"[\d|·]", "", m.group()).strip()) and (m.start() > 0 or m.end() < len(body))
+
+        freed = self.without(re.compile(pattern, re.I), is_head, body, damage, "")
+        return freed.replace("  ", " ") if freed != body else body
+
+    def without(self, pattern: re.Pattern, is_head: Callable[[re.Match], bool], body: str, damage: set[str], instead: str) -> str:
+        """A text without all matches that are furniture."""
+
+        def put(m: re.Match) -> str:
+            if not is_head(m):
+                return m.group()
+            damage.add("head")
+            return instead
+
+        return pattern.sub(put, body)
 
     def clean(self, body: str, damage: set[str], shouted: bool = False) -> str:
         """A joined text without page numbers, capitals of running heads, broken words and stray signs."""
         if _INLINE.search(body):
             damage.add("head")
             body = re.sub(r" {2,}", " ", _INLINE.sub("", body))
-        if m := _DIGIT.search(body):
-            damage.add("head")
-            body = body[: m.start()] + " " + body[m.end() :]
-        for m in _PAGE.finditer(body):
-            if self.counts.get(m.group(1), 0) <= self.rare * 10:
-                damage.add("head")
-                body = body[: m.start()] + " " + body[m.end() :]
-                break
-        for m in () if shouted else _CAPS.finditer(body):
-            got = m.group().strip()
-            words = len(got.split())
-            inside = 0 < m.start() and m.end() < len(body) and body[m.start() - 2 : m.start() - 1].islower() and body[m.end() : m.end() + 2].strip()[:1].islower()
-            if words > 2 and re.search(r"\d", got) or words > 3 and inside:
-                damage.add("head")
-                body = (body[: m.start()] + body[m.end() :]).replace("  ", " ")
-                break
+        body = self.without(_DIGIT, lambda m: True, body, damage, " ")
+        body = self.without(_PAGE, lambda m: self.counts.get(m.group(1), 0) <= self.rare * 10, body, damage, " ")
+        if not shouted:
+
+            def is_head(m: re.Match) -> bool:
+                got, around = m.group().strip(), m.string
+                words = len(got.split())
+                inside = 0 < m.start() and m.end() < len(around) and around[m.start() - 2 : m.start() - 1].islower() and around[m.end() : m.end() + 2].strip()[:1].islower()
+                return bool(words > 2 and re.search(r"\d", got) or words > 3 and inside)
+
+            freed = self.without(_CAPS, is_head, body, damage, "")
+            body = freed.replace("  ", " ") if freed != body else body
         out, at = [], 0
         for m in _BREAK.finditer(body):
             if whole := self.broken(*m.groups()):

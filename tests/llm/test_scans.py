@@ -69,3 +69,19 @@ def test_chain_of_cut_paragraphs(spark, folder):
     whole = got["long", 0].split()
     assert [w for w in whole if w.endswith("x")] == [f"{i}x" for i in range(1, 2 * s.RANGE + 9)] and whole[-1] == "harbor."
     assert all(not t for (b, i), t in got.items() if b == "long" and i)
+
+
+def test_all_page_numbers_and_heads_in_a_text():
+    reader = s.Reader({w: 1000 for w in "the old lantern stood near harbor and nobody had thought of it since winter".split()}, 14_000)
+    want = "the old lantern stood near the harbor and nobody had thought of it since the winter"
+    for head in ("12", "xii", "THE QUIET WINTER SEA", "THE QUIET SEA 46"):
+        text = want.replace("stood", f"stood {head}").replace("nobody", f"nobody {head}").replace("since", f"since {head}")
+        assert reader.judge(text, ()) == (["head"], want, False), head
+    text = want.replace("stood", "stood The Quiet Sea 12").replace("nobody", "nobody The Quiet Sea")
+    assert reader.judge(text, ("the quiet sea",)) == (["head"], want, False)
+
+
+def test_capitals_are_judged_over_the_whole_text():
+    start = "THE OLD LANTERN STOOD NEAR THE HARBOR AND NOBODY HAD THOUGHT OF IT. " * 5
+    assert s.is_shouted(start) and not s.is_shouted(start + start.lower() * 2)
+    assert s.is_shouted(start.lower() + start * 2)
