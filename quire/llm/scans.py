@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quire.plans.session import cut_lineage, most_frequent, read_table
 
-#: Words of the language model, books whose titles may be broadcast, rows of a range of neighbours, rows repeated at its ends.
+#: Words of the language model that are broadcast (the rest is joined to the records that ask for them), books whose titles may be broadcast, rows of a range of neighbours, rows repeated at its ends.
 LEXICON, TITLES, RANGE, EDGE = 300_000, 200_000, 512, 6
 #: A misread word is this much rarer than what it stands for; rare at all is below this share of all words.
 RATIO, SURE, RARE = 8.0, 100.0, 4e-6
@@ -112,6 +112,26 @@ class _Fixes(dict):
         return got
 
 
+class _Counts:
+    """Counts with those that a record has of its own; notes the words that are in neither."""
+
+    def __init__(self, base: dict[str, int]):
+        self.base, self.own, self.missed = base, {}, set()
+
+    def get(self, word: str, default: int = 0) -> int:
+        n = self.base.get(word)
+        if n is None and (n := self.own.get(word)) is None:
+            self.missed.add(word)
+            return default
+        return n
+
+    def turn(self, reader: Reader, words: list[str] | None, ns: list[int] | None) -> None:
+        """Start a record."""
+        self.own, self.missed = dict(zip(words, map(int, ns))) if words is not None else {}, set()
+        reader.known.clear()
+        reader.fixed.clear()
+
+
 class Reader:
     """Judges and repairs records with word counts."""
 
@@ -361,12 +381,14 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").where("text is not null").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_reader(texts: DataFrame) -> Reader:
-    """Counts of the most frequent words, at most LEXICON, and of all words; no more rows come to the driver."""
+def build_reader(texts: DataFrame) -> tuple[Reader, DataFrame | None]:
+    """Counts of the most frequent words, at most LEXICON, and of all words, no more rows come to the driver; word, n of the rest if there is any."""
     counts = cut_lineage(word_counts(texts))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    top = most_frequent(counts, LEXICON).toPandas()
-    return Reader(dict(zip(top["word"], top["n"].astype(int))), int(total))
+    top = most_frequent(counts, LEXICON)
+    rest = counts.join(F.broadcast(top.select("word")), "word", "left_anti") if counts.count() > LEXICON else None
+    top = top.toPandas()
+    return Reader(dict(zip(top["word"], top["n"].astype(int))), int(total)), rest
 
 
 def book_heads(books: DataFrame) -> DataFrame:
@@ -382,8 +404,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.unionByName(p)
 
 
-def judged(recs: DataFrame, books: DataFrame, reader: Reader) -> DataFrame:
-    """The records' own damage: damage, repaired, furniture, and the marks at both ends that neighbours look at."""
+def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame | None = None) -> DataFrame:
+    """The records' own damage: damage, repaired, furniture, and the marks at both ends that neighbours look at.
+
+    rest: counts of words that the reader lacks. Records are then judged three times: the first two tell which of
+    those words they ask for, the second as counts may lead to other questions; the third has the counts of all.
+    """
     spark = recs.sparkSession
     heads = book_heads(books)
     held = spark.sparkContext.broadcast((reader.counts, reader.total))
@@ -396,22 +422,48 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader) -> DataFrame:
     else:
         recs = recs.join(heads, "book_id", "left")
 
+    more_words = rest is not None
+
+    def names_of(book: str, own: list[str] | None) -> tuple[str, ...]:
+        return local.value.get(book, ()) if local else tuple(own) if own is not None else ()
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, total = held.value
+        read = Reader(known := _Counts(counts), total)
+        for b in batches:
+            got = []
+            for key, book, kind, text, own, words, ns in zip(b["key"], b["book_id"], b["kind"], b["text"], b["heads"], b["words"], b["ns"]):
+                if kind == "paragraph" and text and text.strip():
+                    known.turn(read, words, ns)
+                    read.judge(text.strip(), names_of(book, own))
+                    got += [(key, w) for w in known.missed.union(known.own)]
+            yield pd.DataFrame(got, columns=["key", "word"])
+
+    recs = recs.withColumns({"words": F.lit(None).cast("array<string>"), "ns": F.lit(None).cast("array<long>")})
+    if rest is not None:
+        recs = cut_lineage(recs.withColumn("key", F.monotonically_increasing_id()))
+        for _ in range(2):
+            asked = recs.select("key", "book_id", "kind", "text", "heads", "words", "ns").mapInPandas(ask, "key long, word string").join(rest, "word")
+            more = asked.groupBy("key").agg(F.collect_list(F.struct("word", "n")).alias("x")).select("key", F.col("x.word").alias("words"), F.col("x.n").alias("ns"))
+            recs = recs.drop("words", "ns").join(more, "key", "left")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read = Reader(*held.value)
-        of = local.value if local else None
+        counts, total = held.value
+        read = Reader(known := _Counts(counts) if more_words else counts, total)
         for b in batches:
             out = []
-            for table, book, rec, kind, text, own in zip(b["rec_table"], b["book_id"], b["rec_ord"], b["kind"], b["text"], b["heads"]):
+            for table, book, rec, kind, text, own, words, ns in zip(b["rec_table"], b["book_id"], b["rec_ord"], b["kind"], b["text"], b["heads"], b["words"], b["ns"]):
                 s = text.strip() if text else ""
                 if kind != "paragraph" or not s:
                     out.append((table, book, rec, kind, [], None, False, s[:1], s[-4:]))
                     continue
-                names = of.get(book, ()) if of is not None else tuple(own) if own is not None else ()
-                damage, fixed, whole = read.judge(s, names)
+                if more_words:
+                    known.turn(read, words, ns)
+                damage, fixed, whole = read.judge(s, names_of(book, own))
                 out.append((table, book, rec, kind, damage, fixed if damage else None, whole, s[:1], s[-4:]))
             yield pd.DataFrame(out, columns=["rec_table", "book_id", "rec_ord", "kind", "damage", "repaired", "furniture", "head", "tail"])
 
-    return recs.select("rec_table", "book_id", "rec_ord", "kind", "text", "heads").mapInPandas(run, schema)
+    return recs.select("rec_table", "book_id", "rec_ord", "kind", "text", "heads", "words", "ns").mapInPandas(run, schema)
 
 
 def with_neighbours(rows: DataFrame) -> DataFrame:
@@ -441,8 +493,8 @@ def with_neighbours(rows: DataFrame) -> DataFrame:
 def damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(records with damage of their own, halves of cut paragraphs)."""
     recs = records(spark, sf_dir)
-    reader = build_reader(read_table(spark, sf_dir, "blocks").where("kind = 'paragraph'"))
-    rows = cut_lineage(judged(recs, read_table(spark, sf_dir, "book_specs"), reader))
+    reader, rest = build_reader(read_table(spark, sf_dir, "blocks").where("kind = 'paragraph'"))
+    rows = cut_lineage(judged(recs, read_table(spark, sf_dir, "book_specs"), reader, rest))
     return rows, with_neighbours(rows)
 
 

@@ -85,3 +85,10 @@ def test_capitals_are_judged_over_the_whole_text():
     start = "THE OLD LANTERN STOOD NEAR THE HARBOR AND NOBODY HAD THOUGHT OF IT. " * 5
     assert s.is_shouted(start) and not s.is_shouted(start + start.lower() * 2)
     assert s.is_shouted(start.lower() + start * 2)
+
+
+def test_words_beyond_the_lexicon_count(spark, tables, monkeypatch):
+    found, repaired = ({tuple(map(str, r)) for r in q(spark, tables).collect()} for q in (s.p4_found, s.p4_repaired))
+    monkeypatch.setattr(s, "LEXICON", 12)
+    assert {tuple(map(str, r)) for r in s.p4_found(spark, tables).collect()} == found
+    assert {tuple(map(str, r)) for r in s.p4_repaired(spark, tables).collect()} == repaired
