@@ -11,11 +11,7 @@ _DROP = {ord(c): None for c in X.INVISIBLE} | {ord(c): " " for c in X.BLANKS}
 _EDGE = " .—–-"
 
 
-def _ranges(ranges: list[tuple[int, int]]) -> set[str]:
-    return {chr(c) for a, b in ranges for c in range(a, b + 1)}
-
-
-ORNAMENTS, STRONG = _ranges(X.ORNAMENT_RANGES), _ranges(X.STRONG_RANGES)
+ORNAMENTS, STRONG = set(X.ORNAMENTS), set(X.STRONG)
 CHAPTER = re.compile(rf"^\s*(?:{'|'.join(X.CHAPTER_WORDS)})\b[\s.:—–-]*(?:\d{{1,3}}|[ivxlcdm]{{1,7}}|{'|'.join(X.NUMBER_WORDS)})?\b[^\n]{{0,60}}$", re.I)
 
 

@@ -67,6 +67,13 @@ def drop_running_heads(blocks: DataFrame, titles: DataFrame) -> DataFrame:
     return kept.where(~F.coalesce(bad, F.lit(False))).drop("_title")
 
 
+def require_unique(blocks: DataFrame) -> None:
+    """Raise where two blocks of a book have one order number: one of them would be lost."""
+    twice = blocks.groupBy("book_id", "block_ord").count().where("count > 1").select("book_id", "block_ord").limit(3).collect()
+    if twice:
+        raise AssertionError(f"blocks with one order number: {[tuple(r) for r in twice]}")
+
+
 #: Rows of a book up to which its windows run in one task.
 WHOLE = 500_000
 

@@ -19,38 +19,48 @@ from quire.sources import files as sources
 from quire.sources import sinks
 
 
+def option(default: object, section: str, text: str, flag: str = "", recipe: str | None = "", choices: tuple[str, ...] = (), kind: type | None = None):
+    """A field of the configuration that says how it is set.
+
+    section: heading of its option and first part of its recipe key. flag: its option where that is not its name; a
+    yes-or-no field has the option that turns its default over. recipe: its key, None for fields that recipes do not set.
+    """
+    return field(default=default, metadata={"section": section, "text": text, "flag": flag, "recipe": recipe, "choices": choices, "kind": kind})
+
+
 @dataclass(frozen=True)
 class BuildConfig:
-    """What a run does."""
-
-    raw_root: str = "data/raw"
-    out_root: str = "data/out"
-    run_name: str = "run"
-    manifest: str | None = None
-    max_seq_len: int = MAX_SEQ_LEN
-    reserved_boundary_tokens: int = RESERVED_TOKENS
-    tokenizer: str | None = None
-    block_separator: str = "\n\n"
-    include_chapter_headings: bool = True
-    include_scene_headings: bool = True
-    repeat_chapter_title: bool = False
-    min_chunk_tokens: int = 0
-    merge_across_chapters: bool = False
-    oversize_scene_policy: str = "split"
-    exclude_patterns: tuple[str, ...] = ()
-    split_omnibuses: bool = True
-    aggressive_breaks: bool = False
-    numbered_breaks: bool = False
-    strip_page_numbers: bool = False
-    drop_repeated_headings: bool = True
-    val_fraction: float = 0.1
-    split_by: str = "book"
-    val_books: tuple[str, ...] = ()
-    oversize_warn_fraction: float = 0.005
-    oversize_stop_fraction: float = 0.02
-    write_chunks: bool = True
-    emit_tokenized: bool = False
-    emit_dataset: bool = False
+    """What a run does. Names of options and recipe keys are fixed values."""
+
+    raw_root: str = option("data/raw", "", "folder of source books", recipe=None)
+    out_root: str = option("data/out", "", "folder of outputs", recipe=None)
+    run_name: str = option("run", "", "subfolder of this run")
+    manifest: str | None = option(None, "", "YAML file of the books and their sources", recipe=None)
+    max_seq_len: int = option(MAX_SEQ_LEN, "budget", "window of the target model")
+    reserved_boundary_tokens: int = option(RESERVED_TOKENS, "budget", "tokens kept free for boundaries")
+    block_separator: str = option("\n\n", "budget", "text between blocks")
+    tokenizer: str | None = option(None, "budget", "vocabulary file; counts are approximate without one", recipe=None)
+    include_chapter_headings: bool = option(True, "chunking", "leave chapter headings out", "--no-chapter-headings")
+    include_scene_headings: bool = option(True, "chunking", "leave scene headings out", "--no-scene-headings")
+    repeat_chapter_title: bool = option(False, "chunking", "accepted for recipes; the packer never repeats titles")
+    min_chunk_tokens: int = option(0, "chunking", "merge smaller chunks into the one before")
+    merge_across_chapters: bool = option(False, "chunking", "let that merge cross chapters")
+    oversize_scene_policy: str = option("split", "chunking", "what becomes of a scene larger than the budget", choices=("split", "exclude"))
+    exclude_patterns: tuple[str, ...] = option((), "sources", "shell pattern of books to leave out", "--exclude", kind=list)
+    split_omnibuses: bool = option(True, "sources", "keep collections whole", "--no-split-omnibuses", recipe=None)
+    aggressive_breaks: bool = option(False, "sources", "a lone dash line parts scenes")
+    numbered_breaks: bool = option(False, "sources", "a bare number parts scenes")
+    strip_page_numbers: bool = option(False, "sources", "drop lines that are page numbers")
+    drop_repeated_headings: bool = option(True, "sources", "keep headings that repeat the title", "--keep-repeated-headings")
+    val_fraction: float = option(0.1, "splits", "share of validation")
+    split_by: str = option("book", "splits", "unit that stays in one split", recipe="strategy", choices=("book", "chapter", "none"))
+    val_books: tuple[str, ...] = option((), "splits", "books of validation", kind=tuple)
+    oversize_warn_fraction: float = option(0.005, "review_gates", "share of excluded tokens that asks for a review")
+    oversize_stop_fraction: float = option(0.02, "review_gates", "share of excluded tokens that stops a run")
+    write_chunks: bool = option(True, "outputs", "skip the combined file", "--no-chunks-jsonl", recipe="chunks_jsonl")
+    emit_tokenized: bool = option(False, "outputs", "write the packed token stream")
+    emit_dataset: bool = option(False, "outputs", "write Parquet by split", "--emit-hf-dataset", recipe="emit_hf_dataset")
+    part_files: bool = option(False, "outputs", "write JSON lines as folders of part files, in parallel", recipe=None)
 
     def __post_init__(self) -> None:
         if self.split_by not in ("book", "chapter", "none"):
@@ -92,7 +102,9 @@ def run_build(spark: SparkSession, cfg: BuildConfig) -> BuildResult:
     books, blocks, errors = sources.assemble_books(kept, docs)
     if cfg.drop_repeated_headings:
         blocks = structure.drop_running_heads(blocks, books.select("book_id", "title"))
+    structure.require_unique(blocks)
     tree = cut_lineage(structure.hierarchy(blocks))
+    books, errors = sources.without_prose(books, tree, errors)
     chunks, oversize = packing.pack(tree, books, cfg.packing())
     checks.verify(chunks, cfg.packing().budget)
     val = None
@@ -155,16 +167,21 @@ def collect_stats(cfg: BuildConfig, r: BuildResult, tree: DataFrame, val: DataFr
 
 
 def write_outputs(cfg: BuildConfig, r: BuildResult) -> Path:
-    """Artifacts of a run under out_root/run_name on the driver's disk; returns the folder."""
+    """Artifacts of a run under out_root/run_name; returns the folder.
+
+    JSON lines are single files that stream through the driver, or with part_files folders that executors write in
+    parallel, in the same order; choose these for a corpus that does not fit the driver's disk.
+    """
     out = Path(cfg.out_root) / cfg.run_name
     out.mkdir(parents=True, exist_ok=True)
     order = ["book_id", "order_in_book"]
     rows = r.chunks
+    write = sinks.write_jsonl if cfg.part_files else sinks.write_jsonl_file
     if cfg.write_chunks:
-        sinks.write_jsonl_file(rows.drop("split"), str(out / "chunks.jsonl"), order)
+        write(rows.drop("split"), str(out / "chunks.jsonl"), order)
     for split in ("train", "val"):
-        sinks.write_jsonl_file(rows.where(F.col("split") == split).drop("split"), str(out / f"{split}.jsonl"), order)
-    sinks.write_jsonl_file(r.oversize, str(out / "oversize_blocks.jsonl"), ["book_id", "chapter", "scene", "paragraph", "kind"])
+        write(rows.where(F.col("split") == split).drop("split"), str(out / f"{split}.jsonl"), order)
+    write(r.oversize, str(out / "oversize_blocks.jsonl"), ["book_id", "chapter", "scene", "paragraph", "kind"])
     (out / "stats.json").write_text(json.dumps(r.stats, indent=2, ensure_ascii=False, default=str), encoding="utf-8")
     (out / "tokenizer_info.json").write_text(json.dumps(r.stats["tokenizer"], indent=2, ensure_ascii=False), encoding="utf-8")
     (out / "REPORT.md").write_text(render_report(r.stats), encoding="utf-8")

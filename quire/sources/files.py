@@ -13,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
+from quire.operators.running import global_running_sum
+from quire.plans.session import cut_lineage
 
 #: Suffixes by reader.
 TEXT, HTML, EPUB, WORD, KINDLE = ("txt", "md", "markdown"), ("html", "htm", "xhtml"), ("epub",), ("docx",), ("mobi", "azw", "azw3", "prc")
@@ -29,30 +31,48 @@ def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = SUFFI
     return f.where(F.col("suffix").isin(list(suffixes)) & ~F.col("name").startswith(".") & ~F.col("name").startswith("~$") & ~F.array_contains(F.split("rel", "/"), "__MACOSX"))
 
 
+def distinct_ids(rows: DataFrame, order: list[str], column: str = "book_id") -> DataFrame:
+    """rows whose equal ids are told apart: the second gets "-2" behind it, and so on. Slugs have no hyphens, so no other slug is met."""
+    nth = F.row_number().over(W.partitionBy(column).orderBy(*order))
+    return rows.withColumn(column, F.when(nth == 1, F.col(column)).otherwise(F.concat_ws("-", column, nth)))
+
+
 def discover_books(files: DataFrame) -> DataFrame:
-    """book_id, title, author, series, group_key, order_hint, sources: each file is a book, its top folder the series."""
+    """book_id, title, author, series, group_key, order_hint, sources: each file is a book, its top folder the series.
+
+    Files whose paths give one id (Book.txt, Book.md) are numbered in the order of their paths.
+    """
     stem = F.regexp_replace("name", r"\.[^.]+$", "")
     folder = F.regexp_replace("rel", r"/?[^/]*$", "")
     top = F.when(folder == "", "_root").otherwise(F.split("rel", "/")[0])
-    # the rank in the sorted listing: one row a file, names only
-    return files.select(
-        X.slugify(F.concat_ws("/", F.when(folder != "", folder), stem)).alias("book_id"), stem.alias("title"), F.lit(None).cast("string").alias("author"), top.alias("series"), top.alias("group_key"),
-        (F.row_number().over(W.orderBy("rel")) - 1).cast("int").alias("order_hint"), F.array("rel").alias("sources"),
+    named = files.select(
+        "rel", X.slugify(F.concat_ws("/", F.when(folder != "", folder), stem)).alias("book_id"), stem.alias("title"), F.lit(None).cast("string").alias("author"), top.alias("series"), top.alias("group_key"), F.lit(1).alias("one"),
     )
+    ranked = global_running_sum(distinct_ids(named, ["rel"]), ["rel"], "one", "rank")
+    return ranked.select("book_id", "title", "author", "series", "group_key", (F.col("rank") - 1).cast("int").alias("order_hint"), F.array("rel").alias("sources"))
 
 
 def load_manifest(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
     """Books as a YAML manifest declares them; missing files raise. The group defaults to the series, then to the id."""
     import yaml
 
-    with open(path, encoding="utf-8") as f:
-        entries = (yaml.safe_load(f) or {}).get("books") or []
+    try:
+        with open(path, encoding="utf-8") as f:
+            tree = yaml.safe_load(f) or {}
+    except yaml.YAMLError as e:
+        raise ValueError(f"{path}: {e}") from e
+    entries = (tree.get("books") if isinstance(tree, dict) else None) or []
+    if not isinstance(entries, list):
+        raise ValueError("books must be a list")
     rows = []
     for i, e in enumerate(entries):
-        if not e.get("id") or not e.get("sources"):
+        if not isinstance(e, dict) or not e.get("id") or not e.get("sources"):
             raise ValueError(f"book {i} needs an id and sources")
         group = e.get("group") or e.get("series") or e["id"]
         rows.append((str(e["id"]), str(e.get("title") or e["id"]), None, e.get("series") and str(e["series"]), str(group), int(e.get("order", i)), [str(s) for s in e["sources"]]))
+    ids = [r[0] for r in rows]
+    if len(set(ids)) < len(ids):
+        raise ValueError(f"ids that name two books: {sorted({i for i in ids if ids.count(i) > 1})}")
     books = spark.createDataFrame(rows, "book_id string, title string, author string, series string, group_key string, order_hint int, sources array<string>")
     if files is not None:
         wanted = books.select(F.explode("sources").alias("rel")).distinct()
@@ -111,7 +131,8 @@ DOC_SCHEMA = (
 def read_documents(spark: SparkSession, root: str, rels: DataFrame, **options) -> DataFrame:
     """rel, doc_ord, n_docs, meta, blocks, error for the files of rels (column path, rel): contents are read only for them.
 
-    A file that cannot be read gives one row with its error. Texts come from the binary scan, a file a row.
+    A file that cannot be read gives one row with its error. Texts come from the binary scan, a file a row. The scan
+    takes a list of names, as Spark's own file index holds one on the driver for every scan.
     """
     paths = [unquote(r["path"]) for r in rels.select("path").distinct().collect()]  # names of the chosen files, not contents
     if not paths:
@@ -136,27 +157,39 @@ def read_documents(spark: SparkSession, root: str, rels: DataFrame, **options) -
 
 
 def assemble_books(specs: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(books, blocks, errors). One source with several documents gives a book each; else all sources make one book."""
+    """(books, blocks, errors). One source with several documents gives a book each; else all sources make one book.
+
+    Each document knows its unit, the spec or the part of it that becomes a book; units that would have one id are numbered.
+    """
     src = specs.select("book_id", F.col("title").alias("spec_title"), "series", "order_hint", F.size("sources").alias("n_src"), F.posexplode("sources").alias("src_ord", "rel"))
     rows = src.join(docs, "rel", "left")
     failed = rows.where("error is not null or n_docs is null")
     errors = failed.groupBy("book_id").agg(F.array_join(F.array_sort(F.collect_set(F.coalesce("error", F.lit("missing source")))), "; ").alias("error"), F.array_sort(F.collect_set("rel")).alias("sources"))
     good = rows.join(errors.select("book_id"), "book_id", "left_anti")
     several = (F.col("n_src") == 1) & (F.col("n_docs") > 1)
+    good = good.withColumn("part", F.when(several, F.col("doc_ord")).otherwise(-1))
     label = F.substring(X.slugify(F.coalesce(F.col("meta")["title"], F.lit(""))), 1, 60)
     suffix = F.when(label != "", label).otherwise(F.concat(F.lit("part"), F.col("doc_ord") + 1))
     ident = F.when(several, F.concat_ws("__", "book_id", suffix)).otherwise(F.col("book_id"))
-    good = good.select(ident.alias("book_id"), "spec_title", "series", "rel", "src_ord", "doc_ord", "meta", "blocks", several.alias("several"), F.when(several, F.col("order_hint") * 100 + F.col("doc_ord") + 1).otherwise(F.col("order_hint")).alias("order_hint"))
-    titles = F.filter(F.collect_list(F.col("meta")["title"]), lambda t: t != "")
-    books = good.groupBy("book_id").agg(
-        F.max("spec_title").alias("_spec"), titles.alias("_t"), F.count("*").alias("_n"), F.max("several").alias("_several"), F.max("series").alias("series"), F.max("order_hint").alias("order_hint"),
-        F.array_sort(F.collect_list(F.struct("src_ord", "rel"))).alias("_s"),
+    title = F.col("meta")["title"]
+    units = good.groupBy(F.col("book_id").alias("spec"), "part").agg(
+        F.min(ident).alias("book_id"), F.max("spec_title").alias("_spec"), F.filter(F.collect_list(title), lambda t: t != "").alias("_t"), F.count("*").alias("_n"), F.max("series").alias("series"),
+        F.max(F.when(several, F.col("order_hint") * 100 + F.col("doc_ord") + 1).otherwise(F.col("order_hint"))).alias("order_hint"), F.array_sort(F.collect_list(F.struct("src_ord", "rel"))).alias("_s"),
     )
-    books = books.select(
+    units = cut_lineage(distinct_ids(units, ["spec", "part"]))
+    books = units.select(
         "book_id", F.when((F.col("_n") == 1) & (F.size("_t") == 1), F.col("_t")[0]).otherwise(F.col("_spec")).alias("title"), "series", "order_hint",
         F.array_distinct(F.transform("_s", lambda x: x["rel"])).alias("source_files"),
     )
     # documents are far shorter than 2^32 blocks
-    flat = good.select("book_id", ((F.col("src_ord") * 10000 + F.when(F.col("several"), 0).otherwise(F.col("doc_ord"))).cast("int")).alias("doc_ord"), F.explode("blocks").alias("b"))
+    place = (F.col("src_ord") * 10000 + F.when(several, 0).otherwise(F.col("doc_ord"))).cast("int")
+    flat = good.select(F.col("book_id").alias("spec"), "part", place.alias("doc_ord"), F.explode("blocks").alias("b")).join(units.select("spec", "part", "book_id"), ["spec", "part"])
     blocks = flat.select("book_id", "doc_ord", (F.col("doc_ord").cast("long") * (1 << 32) + F.col("b.block_ord")).alias("block_ord"), "b.kind", "b.text", "b.level", "b.origin")
     return books, blocks, errors
+
+
+def without_prose(books: DataFrame, tree: DataFrame, errors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(books with paragraphs, errors with a row for each of the others)."""
+    full = tree.where("kind = 'paragraph'").select("book_id").distinct()
+    empty = books.join(full, "book_id", "left_anti").select("book_id", F.lit("no paragraphs extracted").alias("error"), F.col("source_files").alias("sources"))
+    return books.join(full, "book_id", "left_semi"), errors.unionByName(empty)

@@ -111,9 +111,41 @@ def test_command_line(spark, library, tmp_path, capsys):
     assert cli.main([*base, "--oversize-stop-fraction", "0.001", "--force"]) == 0 and (tmp_path / "run" / "train.jsonl").exists()
     assert cli.main([*base, "--val-fraction", "2"]) == 2 and cli.main([*base, "--val-books", "nope"]) == 2 and cli.main(["--manifest", str(tmp_path / "no.yaml"), *base]) == 2
     assert cli.main(["--check-tokenizer", "--allow-proxy-tokenizer"]) == 0 and cli.main(["--check-tokenizer", "--tokenizer", "/nope"]) == 2
+    bad = tmp_path / "bad.yaml"
+    for text in ("a: [1", "- 1\n- 2", "budget: {max_seq_len: [1]}"):
+        bad.write_text(text)
+        assert cli.main(["--config", str(bad), *base[:4]]) == 2
+    for text in ("a: [1", "books: 3", "books: [3]", "books: [{id: a, sources: [tale.txt]}, {id: a, sources: [note.docx]}]"):
+        bad.write_text(text)
+        assert cli.main(["--manifest", str(bad), *base]) == 2
+    assert cli.main(["--raw-root", str(tmp_path / "nowhere")]) == 2
+    assert cli.main([*base, "--oversize-stop-fraction", "1", "--part-files", "--run-name", "parts"]) == 0
+    parts = sorted((tmp_path / "parts" / "chunks.jsonl").glob("part-*.json"))
+    one = cli.main([*base, "--oversize-stop-fraction", "1", "--run-name", "one"])
+    assert one == 0 and "".join(p.read_text() for p in parts).count("\n") == (tmp_path / "one" / "chunks.jsonl").read_text().count("\n")
     capsys.readouterr()
 
 
+def test_no_book_is_lost(spark, tmp_path):
+    """Files with one id, a collection whose novels have one title, and a file without prose."""
+    rng = random.Random(3)
+    (tmp_path / "shelf").mkdir()
+    (tmp_path / "shelf" / "Book.txt").write_text("Chapter One\n\nwords of the first")
+    (tmp_path / "shelf" / "Book.md").write_text("# Chapter\n\nwords of the second")
+    (tmp_path / "shelf" / "empty.txt").write_text("# Only a heading\n")
+    kids = [str(i) for i in range(6)]
+    parts = {f"{b}/c{i}.html": f"<p>{paragraph(rng, 20)} novel{b}</p>" for b in (1, 2) for i in range(6)}
+    (tmp_path / "two.epub").write_bytes(epub(parts, "Two", nav_points([("Book One - Sea", "1/c0.html", kids), ("Book Two - Sea", "2/c0.html", kids)])))
+    r = run_build(spark, BuildConfig(raw_root=str(tmp_path), max_seq_len=302, split_by="none"))
+    got = {x["book_id"]: x["source_files"] for x in r.books.collect()}
+    assert got == {"shelf_book": ["shelf/Book.md"], "shelf_book-2": ["shelf/Book.txt"], "two__sea": ["two.epub"], "two__sea-2": ["two.epub"]}
+    text = {}
+    for c in r.chunks.orderBy("order_in_book").collect():
+        text[c["book_id"]] = text.get(c["book_id"], "") + c["text"]
+    assert "second" in text["shelf_book"] and "first" in text["shelf_book-2"] and text["two__sea"].count("novel1") == 6 and text["two__sea-2"].count("novel2") == 6
+    assert [(e["book_id"], e["error"]) for e in r.stats["errors"]] == [("shelf_empty", "no paragraphs extracted")]
+
+
 def test_recipe(tmp_path):
     f = tmp_path / "r.yaml"
     f.write_text(yaml.safe_dump({"run_name": "x", "budget": {"max_seq_len": 512}, "chunking": {"include_chapter_headings": False}, "sources": {"exclude_patterns": ["a*"], "drop_repeated_headings": False}, "splits": {"val_books": ["b"]}, "outputs": {"chunks_jsonl": False}}))
@@ -121,7 +153,7 @@ def test_recipe(tmp_path):
     p.set_defaults(**cli.recipe_defaults(str(f)))
     cfg = cli.config_of(p.parse_args(["--max-seq-len", "256"]))
     assert (cfg.run_name, cfg.max_seq_len, cfg.include_chapter_headings, cfg.exclude_patterns, cfg.drop_repeated_headings, cfg.val_books, cfg.write_chunks) == ("x", 256, False, ("a*",), False, ("b",), False)
-    assert len(cli.RECIPE) == 23
+    assert len(cli.recipe_keys()) == 23
 
 
 def test_stream(spark, tmp_path):

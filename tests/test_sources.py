@@ -86,6 +86,9 @@ def test_overlapping_references():
 def test_trailing_data():
     assert kindle.strip_trailing(b"text\x81", 0b10) == b"text" and kindle.strip_trailing(b"text\x00", 0b1) == b"text"
     assert kindle.strip_trailing(b"\x81", 0b10) == b"\x81" and kindle.strip_trailing(b"", 3) == b""
+    assert kindle.entry_size(b"abc\x81\x02", 5) == 130 and kindle.entry_size(b"", 0) == 0
+    assert kindle.strip_trailing(b"x" * 140 + b"\x81\x02", 0b10) == b"x" * 12
+    assert kindle.strip_trailing(b"text\x01ab\x83", 0b11) == b"tex"
 
 
 def test_kindle():
@@ -110,8 +113,9 @@ def test_kindle_collection():
     raw = links % (base, base + len(one)) + one + two
     docs = kindle.kindle_documents(mobi(raw, "Both"), "a.mobi", "a")
     assert [d.meta["title"] for d in docs] == ["First", "Second"] and docs[1].blocks[0][1] == "Second"
-    starts = kindle.novel_starts(raw)
-    assert "".join(t for _, t in kindle.segments(raw, starts, "utf-8")).encode() == raw
+    spans = kindle.book_spans(raw)
+    assert b"".join(raw[s.start : s.end] for s in spans) == raw and [s.title for s in spans] == ["First", "Second"]
+    assert kindle.book_spans(b"") == [] and kindle.book_spans(raw[: base + 100]) == []
     assert len(kindle.kindle_documents(mobi(raw, "Both"), "a.mobi", "a", split_omnibus=False)) == 1
 
 
