@@ -27,20 +27,61 @@ FINE = [
 ]
 
 
-@pytest.mark.parametrize("text", SPAM)
-def test_spam(text):
-    assert s.judge(text)[0] > s.SHARE and s.judge("\n".join([PROSE, *[text] * 4]))[0] > s.SHARE
+TABLE = "doc_id long, text string, share string"
 
 
-@pytest.mark.parametrize("text", FINE)
-def test_fine(text):
-    assert s.judge(text)[0] <= s.SHARE
+@pytest.fixture(scope="module")
+def shares(spark):
+    """Share of words in list shapes of SPAM, of SPAM among sentences, of FINE, and of FINE with one link behind it."""
+    mixed = ["\n".join([PROSE, *[t] * 4]) for t in SPAM]
+    linked = [f"{t}\nhttps://a.example/about" if t and len(s.Units([t]).n) and s.Units([t]).n.sum() > 15 else t for t in FINE]
+    texts = SPAM + mixed + FINE + linked
+    got = {r["doc_id"]: r for r in s.judged(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], TABLE)).collect()}
+    rows = iter([got[i] for i in range(len(texts))])
+    return {name: [next(rows) for _ in of] for name, of in (("spam", SPAM), ("mixed", mixed), ("fine", FINE), ("linked", linked))}
+
+
+def test_spam_is_flagged(shares):
+    for name in ("spam", "mixed"):
+        assert [i for i, r in enumerate(shares[name]) if r["share"] <= s.SHARE] == []
+    assert all(r["kind"] and r["shapes"] for r in shares["spam"])
+
+
+def test_fine_is_not_and_a_link_changes_nothing(shares):
+    for name in ("fine", "linked"):
+        assert [i for i, r in enumerate(shares[name]) if r["share"] > s.SHARE] == []
+
+
+def test_verdict_does_not_hang_on_a_link(spark):
+    """Lists of many words among sentences of fewer: with and without a harmless line the page is flagged."""
+    lists = "\n".join("bright lamp, old lamp, tin lamp, brass lamp, red lamp, best lamp, cheap lamp, new lamp, blue lamp, top lamp, big lamp, low lamp" for _ in range(12))
+    page = f"{lists}\n" + "\n".join([PROSE] * 8)
+    rows = [(1, page, "x"), (2, page + "\nSee www.a.example/x for more.", "x")]
+    assert sorted(r["doc_id"] for r in s.flagged(spark.createDataFrame(rows, TABLE)).collect()) == [1, 2]
+
+
+def test_measures_of_units():
+    u = s.Units(["One two. Three, four", "", "www.a.example/x and\n#a #b #c"])
+    kept = u.weight() > 0
+    assert u.page[kept].tolist() == [0, 0, 2, 2] and u.n[kept].tolist() == [2, 2, 1, 3]
+    assert u.links[kept].tolist() == [0, 0, 1, 0] and u.tags[kept].tolist() == [0, 0, 0, 3] and u.ends[kept].tolist() == [True, False, False, False] and u.items[kept].tolist() == [1, 2, 1, 1]
+
+
+def test_batches_do_not_change_shapes(rng):
+    texts = SPAM + [t for t in FINE if t] + [PROSE * 40]
+    def table(most):
+        out = []
+        for a, b in s.slices(texts, most):
+            page, code, weight, _ = s.shapes_of(texts[a:b])
+            out += sorted(zip((page + a).tolist(), code.tolist(), weight.tolist()))
+        return out
+    assert table(1) == table(10**9) and len(table(1)) > 100
 
 
 def test_long_text_and_query(spark, folder):
-    assert s.judge(PROSE * 3000)[0] == 0.0
+    assert s.shapes_of([PROSE * 3000])[2].sum() == 3000 * 26
     rows = [(i, t, "x") for i, t in enumerate(SPAM + FINE)] + [(0, SPAM[0], "x")]
-    d = folder(documents=(rows, "doc_id long, text string, share string"))
+    d = folder(documents=(rows, TABLE))
     assert sorted(r["doc_id"] for r in s.p9_found(spark, d).collect()) == list(range(len(SPAM)))
     assert sum(r["n_pages"] for r in s.p9_shapes(spark, d).collect()) == len(SPAM) + 1
     assert s.p9_found(spark, folder(documents=([], "doc_id long, text string"))).count() == 0
