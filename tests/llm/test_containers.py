@@ -11,23 +11,46 @@ def words(n):
     return " ".join(["w"] * n)
 
 
+def placed(patterns, lengths):
+    out = np.zeros(len(lengths), np.int64)
+    for copies, pattern in patterns:
+        for i, k in pattern.items():
+            out[i] += copies * k
+    return out
+
+
 def test_solve_places_every_item_once(rng):
     for _ in range(25):
         capacity = rng.choice([10, 57, 300])
         lengths = np.array(sorted(rng.sample(range(1, capacity + 1), rng.randint(1, min(9, capacity)))))
         counts = np.array([rng.randint(1, 60) for _ in lengths])
-        out = p.solve(lengths, counts, capacity)
-        assert (sum(k * x for k, x in out) == counts).all() and all(x @ lengths <= capacity for _, x in out)
-        bins, least = sum(k for k, _ in out), -(-int(lengths @ counts) // capacity)
-        first_fit = ffd(lengths, counts, capacity)
-        assert bins <= first_fit + max(2, 0.05 * first_fit) and bins >= least
+        out, least = p.solve(lengths, counts, capacity)
+        assert (placed(out, lengths) == counts).all() and all(sum(k * lengths[i] for i, k in x.items()) <= capacity for _, x in out)
+        bins = sum(k for k, _ in out)
+        assert -(-int(lengths @ counts) // capacity) <= least <= bins <= bfd(lengths, counts, capacity)
+
+
+def test_best_fit_equals_item_by_item(rng):
+    for _ in range(40):
+        capacity = rng.choice([10, 57, 300])
+        lengths = np.array(sorted(rng.sample(range(1, capacity + 1), rng.randint(1, min(12, capacity)))))
+        counts = np.array([rng.randint(0, 40) for _ in lengths])
+        out = p.best_fit(lengths, counts, capacity)
+        assert (placed(out, lengths) == counts).all() and sum(k for k, _ in out) == bfd(lengths, counts, capacity)
+
+
+def test_counts_of_any_size(rng):
+    lengths = np.arange(3, 90)
+    counts = np.array([rng.randint(1, 10**9) for _ in lengths])
+    out, least = p.solve(lengths, counts, 256)
+    assert (placed(out, lengths) == counts).all() and least <= sum(k for k, _ in out) <= 1.01 * least and len(out) < 2_000
 
 
-def ffd(lengths, counts, capacity):
+def bfd(lengths, counts, capacity):
     rooms = []
     for n, k in sorted(zip(lengths, counts), reverse=True):
         for _ in range(k):
-            i = next((i for i, r in enumerate(rooms) if r >= n), None)
+            i = min((i for i, r in enumerate(rooms) if r >= n), key=lambda i: rooms[i], default=None)
             if i is None:
                 rooms.append(capacity - n)
             else:
@@ -39,7 +62,7 @@ def test_little_space_is_left(rng):
     lengths = np.arange(5, 100)
     counts = np.array([rng.randint(0, 80) for _ in lengths])
     lengths, counts = lengths[counts > 0], counts[counts > 0]
-    out = p.solve(lengths, counts, 512)
+    out, _ = p.solve(lengths, counts, 512)
     assert lengths @ counts / (512 * sum(k for k, _ in out)) > 0.985
 
 
@@ -65,6 +88,7 @@ def test_assignments(spark, folder, rng):
     assert items[("scene", "q::0::0")] == 9 and ("scene", "b::1::0") not in items
     totals = {r["item_level"]: r for r in p.p3_containers(spark, d).collect()}
     assert totals["paragraph"]["n_pieces"] == sum(k[0] == "paragraph" for k in items) + 6 and totals["chunk"]["filled"] > 0.8
+    assert all(r["least_containers"] <= r["n_containers"] for r in totals.values())
 
 
 def test_nothing_to_pack(spark, folder):
