@@ -1,33 +1,39 @@
-"""Problem 4: noise of scanned pages, by noisy-channel decoding of de-lined text.
+"""Problem 4: noise of scanned pages, by decoding the de-lined character stream of each record over a lattice of words.
 
-Word counts over all blocks give the language model; the channel knows the confusions of character recognition,
-hyphens at line ends, split and merged words. A record's lines are freed of running heads and page numbers, its
-words are joined to one stream, and a Viterbi pass over the stream picks the cheapest reading where a word is
-rare. Halves of paragraphs that a page end cut in two are found between neighbours: rows are keyed by book and
-range of order numbers, the few rows near a range's ends stand in two ranges, so no window holds a whole book;
-the boundary between two neighbours is a break or a join, whichever costs less given the marks and cases on both sides.
+Word counts over all blocks and paragraphs give the language model. A record's lines are freed of running heads and
+page numbers and become one stream. Over the stream lies a lattice: its nodes are places in the stream, its edges read a
+stretch of characters as a word, or as nothing. An edge keeps a word, undoes one or two confusions of the recogniser,
+splits words that run together, merges a word that blanks fell into, joins or keeps a hyphen at a line's end, or
+drops a stray sign, a page number or a running head. A word's price is its rarity; one that nothing else in the
+corpus vouches for is priced by its letters. The cheapest path is the repaired text. Where no edge but that of keeping exists,
+the only path is the text itself and nothing is searched.
+
+Paragraph boundaries are chosen by dynamic programming over each run of neighbours whose ends lie open: a break or a
+join at every boundary, by the marks, words and letters on both sides and the length of what is joined. Neighbours
+are found by windows over ranges of order numbers, so no window holds a whole book. Every part stands in exactly one paragraph.
 
 Defined results: null and blank texts are no damage and do not separate neighbours; headings and scene breaks are
 never damaged and end a paragraph; repeated rows give one record; a record without order number is judged alone.
+Capitalised words are not split, since invented names are often made of words, nor are words with other than ASCII
+letters, where wrong decoding looks like letters.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from math import log
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.plans.session import cut_lineage, most_frequent, read_table
+from quire.plans.session import cut_lineage, most_frequent, read_table, small_broadcast
 
-#: Words of the language model that are broadcast (the rest is joined to the records that ask for them), books whose titles may be broadcast, rows of a range of neighbours, rows repeated at its ends.
-LEXICON, TITLES, RANGE, EDGE = 300_000, 200_000, 512, 6
+#: Words of the language model that are broadcast (the rest is joined to the records that ask for them), books whose titles may be broadcast, order numbers of a range of neighbours.
+LEXICON, TITLES, RANGE = 300_000, 200_000, 512
 #: A misread word is this much rarer than what it stands for; rare at all is below this share of all words.
 RATIO, SURE, RARE = 8.0, 100.0, 4e-6
 #: What recognition made of letters -> the letters.
@@ -42,18 +48,26 @@ _NUMBER = rf"(?:\d{{1,4}}|{_ROMAN})"
 _FOLIO = re.compile(rf"(?:[-–—\[(]\s*)?(?:p(?:age|g)?\.?\s*)?{_NUMBER}(?:\s*(?:/|of)\s*\d{{1,4}})?(?:\s*[-–—\])])?", re.I)
 #: A running head with its page number before or after it.
 _HEAD = re.compile(rf"(?:{_NUMBER}\s*(?:[|·•]|\s{{2,}}|\s)\s*(?P<a>[^\W\d_].*)|(?P<b>.*[^\W\d_.][.\w]*)\s*(?:[|·•]|\s{{2,}}|\s)\s*{_NUMBER})", re.S)
-_CAPS = re.compile(r"(?:\d{1,4}\s+)?\b[A-ZÀ-ÞŁŚŻ]{2,}(?:[-'’\s]+(?:[A-ZÀ-ÞŁŚŻ]+|[a-z]{1,3}(?=\s+[A-Z])))*(?:\s+\d{1,4})?")
+_CAPS = re.compile(r"(?:\d{1,4}\s+)?\b[A-ZÀ-ÞŁŚŻ]{2,}(?![^\W\d_])(?:[-'’\s]+(?:[A-ZÀ-ÞŁŚŻ]+(?![^\W\d_])|[a-z]{1,3}(?=\s+[A-Z])))*(?:\s+\d{1,4})?")
 _INLINE = re.compile(r"\[\d{1,4}\]|[—–-] \d{1,4} [—–-](?= )|\bp\. \d{1,4} / \d{1,4}|\bPage \d{1,4}\b(?: of \d+)?|[|·] \d{1,4}(?= )")
 _STRAY = re.compile(r"(?<=[\w,;.!?”\"’»…]) (?:[|¦•·~^°*_\\<>=]|'\.) (?=[\w\"“«‘—–])|^[|¦•·~^°] (?=\w)|(?<=[\w.]) [|¦•·~^°]$")
 _PAGE = re.compile(rf"(?<=[a-zà-ÿ,;]) ({_ROMAN}|[vx]) (?=[a-zà-ÿ])")
-#: What the searches inside a text need to find something: a sign or digit, two capitals, a hyphen before a blank, a Roman number.
-_SIGN, _CAPITALS = re.compile(r"[\d|¦•·~^°*_\\<>=¬\xad]"), re.compile(r"[A-ZÀ-ÞŁŚŻ]{2}")
+#: What the searches for signs need to find something: a sign or digit, two capitals, a hyphen before a blank.
+_MARKED = re.compile(r"[\d|¦•·~^°*_\\<>=¬\xad]|[A-ZÀ-ÞŁŚŻ]{2}|- |'\. ")
 _DIGIT = re.compile(r"(?<=[a-zà-ÿ,;\-¬\xad]) (?:\d{1,3}) (?=[a-zà-ÿ])")
 _UPPER, _LETTER = re.compile(r"[A-ZÀ-ÞŁŚŻ]"), re.compile(r"[^\W\d_]")
 _SMALL = {"a", "an", "and", "the", "of", "for", "in", "on", "to", "at", "by", "from", "with", "or", "de", "la", "le", "der", "die", "das", "und", "von"}
 _CORE = re.compile(r"^[\"“”‘’«»'(\[—–]*(.*?)[\"“”’«»'.,;:!?…)\]—–]*$", re.S)
 _BREAK = re.compile(r"([^\W\d_]+)([-¬\xad])\s+([^\W\d_]+)")
 _ENDED = re.compile(r"[.!?…:][\"'”’»)\]]*$")
+#: A text's last word, and the mark that leaves it open.
+_OPEN = re.compile(r"(?:^|[\s\"“«(\[—–])(?:[^\W\d_]+[-'’])*([^\W\d_]+)([,;]|[-¬\xad])?$")
+#: Costs in nats: a confusion, a merge, a split, a split at a word as frequent as one in a thousand, a drop; a word nothing vouches for and each of its letters.
+CONFUSED, MERGED, SPLIT, SPLIT_SMALL, DROPPED, UNKNOWN, LETTER = 1.5, 3.0, 9.0, 4.0, 2.0, 5.0, 2.0
+#: Times a word counts by standing in a block and in the paragraph made of it.
+OWN = 2
+#: Costs of a break behind a word, behind a comma, a hyphen, and a word of a thousandth of all; of a join ahead of a capital or sign; characters from which a paragraph is long.
+BREAKS, CAPITAL, LONG = {"word": 3.0, "mark": 3.0, "small": 5.0, "hyphen": 6.0}, 4.0, 5_000
 
 
 def core_of(word: str) -> str:
@@ -92,20 +106,25 @@ def _roman(n: int) -> str:
 ROMAN = frozenset(_roman(n) for n in range(2, 1000))
 
 
-class _Fixes(dict):
-    """Word as it stands in a text -> its repaired form or None; resolved on first sight, remembered up to a bound."""
+class _Readings(dict):
+    """Word as it stands in a text -> (its repaired forms with their costs, whether it is rare), None when nothing is to be tried; remembered up to a bound."""
 
     def __init__(self, reader: Reader):
         super().__init__()
         self.reader = reader
 
-    def __missing__(self, w: str) -> str | None:
+    def __missing__(self, w: str) -> tuple[tuple[tuple[str, float, str], ...], bool] | None:
         r = self.reader
         core = core_of(w)
         got = None
         if core and not core.isdigit() and not (w.isalpha() and r.counts.get(w, 0) > r.rare * 40):
-            fixed = r.misread(core)
-            got = w.replace(core, fixed, 1) if fixed else None
+            options = []
+            if fixed := r.misread(core):
+                options.append((w.replace(core, fixed, 1), r.price(fixed) + CONFUSED, "misread"))
+            elif cut := r.split(core):
+                options.append((w.replace(core, cut[0], 1), cut[1], "split"))
+            rare = core.islower() and core.isalpha() and r.counts.get(core, 0) <= r.rare
+            got = (tuple(options), rare) if options or rare else None
         if len(self) > 300_000:
             self.clear()
         self[w] = got
@@ -138,27 +157,61 @@ class Reader:
     def __init__(self, counts: dict[str, int], total: int):
         self.counts, self.total = counts, max(total, 1)
         self.known: dict[str, str | None] = {}
-        self.fixed = _Fixes(self)
+        self.fixed = _Readings(self)
+        self.cuts: dict[str, tuple[str, float] | None] = {}
         self.rare = max(3.0, RARE * self.total)
+        self.floor = log(self.total + 1)
 
     # words
 
-    def _readings(self, w: str, twice: bool = True) -> Iterator[str]:
-        """Words that differ by one or two confusions."""
-        first = set()
+    def price(self, core: str) -> float:
+        """Nats of a word; one that stands here only is priced by its letters."""
+        low = core.lower()
+        n = self.counts.get(low, 0)
+        return self.floor - log(n + 0.3) if n > OWN else max(self.floor, UNKNOWN + LETTER * len(low))
+
+    def split(self, core: str) -> tuple[str, float] | None:
+        """(words, cost) of words that run together: the cheapest segmentation of the letters, if cheaper than the word itself."""
+        if len(core) < 4 or not core.isascii() or not core.isalpha() or not core.islower() or self.counts.get(core, 0) > OWN or len(core) > 60:
+            return None
+        if core not in self.cuts:
+            small = self.total / 1000
+            # best[j]: cheapest reading of the first j letters as words of two letters at least
+            best: list[tuple[float, int]] = [(0.0, 0)] + [(1e18, 0)] * len(core)
+            for j in range(2, len(core) + 1):
+                for i in range(max(0, j - 24), j - 1):
+                    n = self.counts.get(core[i:j], 0)
+                    if n > self.rare and best[i][0] < 1e18:
+                        cost = best[i][0] + self.floor - log(n + 0.3) + (0.0 if i == 0 else SPLIT_SMALL if n > small or self.counts.get(core[:i], 0) > small else SPLIT)
+                        if cost < best[j][0]:
+                            best[j] = (cost, i)
+            cost, j, words = best[-1][0], len(core), []
+            while j > 0 and cost < 1e18:
+                words.append(core[best[j][1] : j])
+                j = best[j][1]
+            if len(self.cuts) > 100_000:
+                self.cuts.clear()
+            self.cuts[core] = (" ".join(reversed(words)), cost) if cost < self.price(core) else None
+        return self.cuts[core]
+
+    def _near(self, w: str) -> list[str]:
+        """Words that differ by one confusion."""
+        out = []
         for bad, good in CONFUSIONS:
-            i = w.find(bad)
-            while i >= 0:
-                first.add(w[:i] + good + w[i + len(bad) :])
-                i = w.find(bad, i + 1)
+            if bad in w:
+                i, k = w.find(bad), len(bad)
+                while i >= 0:
+                    out.append(w[:i] + good + w[i + k :])
+                    i = w.find(bad, i + 1)
+        return out
+
+    def _readings(self, w: str) -> Iterator[str]:
+        """Words that differ by one or two confusions."""
+        first = self._near(w)
         yield from first
-        if twice and len(w) > 4:
+        if len(w) > 4:
             for f in first:
-                for bad, good in CONFUSIONS:
-                    i = f.find(bad)
-                    while i >= 0:
-                        yield f[:i] + good + f[i + len(bad) :]
-                        i = f.find(bad, i + 1)
+                yield from self._near(f)
 
     def misread(self, core: str) -> str | None:
         """What a word stands for, None when it is as it should be."""
@@ -187,7 +240,7 @@ class Reader:
         if not odd and (len(low) < 3 or core.isupper()):
             return None
         best, score = None, 0.0
-        for r in self._readings(low, odd or not capital):
+        for r in self._readings(low):
             m = self.counts.get(r, 0)
             if m > score:
                 best, score = r, m
@@ -229,7 +282,7 @@ class Reader:
         s = line.strip()
         if not s or len(s) > 90:
             return False
-        if _FOLIO.fullmatch(s):
+        if _FOLIO.fullmatch(s) or s in ("i", "v", "x"):
             return True
         low = re.sub(r"\W+", " ", s).strip().lower()
         if low in heads:
@@ -260,99 +313,144 @@ class Reader:
                     kept.append(line)
             lines = kept
         body = " ".join(x.strip() for x in lines if x.strip()) if len(lines) > 1 else lines[0] if lines else ""
-        low = body.lower() if heads else ""
-        for h in heads:
-            if len(h) > 7 and all(w in low for w in h.split()):
-                body = self.without_head(body, h, damage)
-        if _SIGN.search(body) or "- " in body or "'. " in body or _CAPITALS.search(body) or not ROMAN.isdisjoint(body.split(" ")):
-            body = self.clean(body, damage, shouted or is_shouted(text))
-        body = self.decode(body, damage)
-        return sorted(damage), body, False
-
-    def without_head(self, body: str, head: str, damage: set[str]) -> str:
-        """A text without the running head that line joining left in it."""
+        return self.decode(body, damage, heads, shouted, text)
+
+    # the lattice
+
+    def edges(self, body: str, words: list[str], heads: tuple[str, ...], shouted: bool, text: str) -> list[tuple[int, int, str, float, str]]:
+        """(start, end, reading, cost, kind) of the ways to read stretches of the stream other than as they stand."""
+        out: list[tuple[int, int, str, float, str]] = []
+        if heads:
+            low = body.lower()
+            for h in heads:
+                if len(h) > 7 and all(w in low for w in h.split()):
+                    out += self.head_edges(body, h)
+        if _MARKED.search(body) or not ROMAN.isdisjoint(words):
+            out += self.sign_edges(body, shouted or is_shouted(text))
+        fix = self.fixed.__getitem__
+        if any(map(fix, words)):
+            at, last = 0, len(words) - 1
+            for i, w in enumerate(words):
+                end = at + len(w)
+                got = fix(w)
+                if got:
+                    out += [(at, end, reading, cost, kind) for reading, cost, kind in got[0]]
+                if i < last and w.isalpha() and (got or fix(words[i + 1])):
+                    out += self.merge_edges(words, i, at, end)
+                at = end + 1
+        return out
+
+    def merge_edges(self, words: list[str], i: int, at: int, end: int) -> Iterator[tuple[int, int, str, float, str]]:
+        """Two or three pieces as one word, where one of them is rare."""
+        whole = words[i]
+        for piece in words[i + 1 : i + 3]:
+            if not piece[:1].islower():
+                return
+            whole, end = whole + piece, end + 1 + len(piece)
+            core = core_of(whole)
+            fixed = core if self.counts.get(core.lower(), 0) > self.rare else self.misread(core) if core.isalpha() else None
+            if fixed and self.counts.get(fixed.lower(), 0) > self.rare:
+                yield at, end, whole.replace(core, fixed, 1), self.price(fixed) + MERGED + CONFUSED * (fixed != core), "misread" if fixed != core else "split"
+            if not piece.isalpha():
+                return
+
+    def head_edges(self, body: str, head: str) -> Iterator[tuple[int, int, str, float, str]]:
+        """A running head that line joining left in a text."""
         pattern = r"(?:\d{1,4}\s+)?" + r"[\W_]+".join(map(re.escape, head.split())) + r"(?:\s*[|·]?\s*\d{1,4}\b)?"
-
-        def is_head(m: re.Match) -> bool:
-            return titled(re.sub(r"[\d|·]", "", m.group()).strip()) and (m.start() > 0 or m.end() < len(body))
-
-        freed = self.without(re.compile(pattern, re.I), is_head, body, damage, "")
-        return freed.replace("  ", " ") if freed != body else body
-
-    def without(self, pattern: re.Pattern, is_head: Callable[[re.Match], bool], body: str, damage: set[str], instead: str) -> str:
-        """A text without all matches that are furniture."""
-
-        def put(m: re.Match) -> str:
-            if not is_head(m):
-                return m.group()
-            damage.add("head")
-            return instead
-
-        return pattern.sub(put, body)
-
-    def clean(self, body: str, damage: set[str], shouted: bool = False) -> str:
-        """A joined text without page numbers, capitals of running heads, broken words and stray signs."""
-        if _INLINE.search(body):
-            damage.add("head")
-            body = re.sub(r" {2,}", " ", _INLINE.sub("", body))
-        body = self.without(_DIGIT, lambda m: True, body, damage, " ")
-        body = self.without(_PAGE, lambda m: self.counts.get(m.group(1), 0) <= self.rare * 10, body, damage, " ")
-        if not shouted:
-
-            def is_head(m: re.Match) -> bool:
-                got, around = m.group().strip(), m.string
-                words = len(got.split())
-                inside = 0 < m.start() and m.end() < len(around) and around[m.start() - 2 : m.start() - 1].islower() and around[m.end() : m.end() + 2].strip()[:1].islower()
-                return bool(words > 2 and re.search(r"\d", got) or words > 3 and inside)
-
-            freed = self.without(_CAPS, is_head, body, damage, "")
-            body = freed.replace("  ", " ") if freed != body else body
-        out, at = [], 0
+        for m in re.finditer(pattern, body, re.I):
+            if titled(re.sub(r"[\d|·]", "", m.group()).strip()) and (m.start() > 0 or m.end() < len(body)):
+                yield m.start(), m.end(), "", DROPPED, "head"
+
+    def sign_edges(self, body: str, shouted: bool) -> Iterator[tuple[int, int, str, float, str]]:
+        """Page numbers, capitals of running heads, words broken by a line's end, and stray signs."""
+        for pattern in (_INLINE, _DIGIT):
+            for m in pattern.finditer(body):
+                yield m.start(), m.end(), " " if pattern is _DIGIT else "", DROPPED, "head"
+        for m in _PAGE.finditer(body):
+            if self.counts.get(m.group(1), 0) <= self.rare * 10:
+                yield m.start(), m.end(), " ", DROPPED, "head"
+        for m in () if shouted else _CAPS.finditer(body):
+            got, words = m.group().strip(), len(m.group().split())
+            inside = 0 < m.start() and m.end() < len(body) and body[m.start() - 2 : m.start() - 1].islower() and body[m.end() : m.end() + 2].strip()[:1].islower()
+            if words > 2 and re.search(r"\d", got) or words > 3 and inside:
+                yield m.start(), m.end(), "", DROPPED, "head"
         for m in _BREAK.finditer(body):
             if whole := self.broken(*m.groups()):
-                damage.add("hyphen")
-                out += [body[at : m.start()], whole]
-                at = m.end()
-        body = "".join(out) + body[at:]
-        if _STRAY.search(body):
-            damage.add("stray")
-            body = _STRAY.sub(" ", body)
-        return body
-
-    def decode(self, body: str, damage: set[str]) -> str:
-        """Cheapest reading of the word stream: as it stands, misread, or a merge of two pieces of one word."""
+                fixed = self.misread(core_of(whole))
+                yield m.start(), m.end(), fixed or whole, 0.0, "hyphen"
+        for m in _STRAY.finditer(body):
+            yield m.start(), m.end(), " ", DROPPED, "stray"
+
+    def decode(self, body: str, damage: set[str], heads: tuple[str, ...] = (), shouted: bool = False, text: str = "") -> tuple[list[str], str, bool]:
+        """(kinds of damage, cheapest reading of the stream, False)."""
         words = body.split(" ")
-        fix = self.fixed.__getitem__
-        if not any(map(fix, words)):
-            return body
-        trouble = [(i, f) for i, w in enumerate(words) if (f := fix(w))]
-        floor = log(self.total)
-        price = lambda w: floor - log(self.counts.get(core_of(w).lower(), 0) + 0.3)
-        fixes = dict(trouble)
-        # Viterbi over the words: best[i] is the cheapest reading of the first i
-        best: list[tuple[float, tuple]] = [(0.0, ())] + [(1e18, ())] * len(words)
-        near = {j for i in fixes for j in (i - 1, i, i + 1)}
-        readings: list[str | None] = [None] * len(words)
-        for i, w in enumerate(words):
-            cost, how = best[i]
-            options = [(price(w) if i in near else 0.0, w, 1)]
-            if i in fixes:
-                options.append((price(fixes[i]) + 1.5, fixes[i], 1))
-            if i in near and i + 1 < len(words) and w.isalpha() and words[i + 1][:1].islower():
-                merged = w + words[i + 1]
-                if self.counts.get(core_of(merged).lower(), 0) > self.rare:
-                    options.append((price(merged) + 3.0, merged, 2))
-            for c, r, k in options:
-                if cost + c < best[i + k][0]:
-                    best[i + k] = (cost + c, (i, r))
-        i, out = len(words), []
-        while i > 0:
-            i, r = best[i][1]
-            out.append(r)
-        read = " ".join(reversed(out))
-        if read != body:
-            damage.add("misread")
-        return read
+        edges = self.edges(body, words, heads, shouted, text)
+        if not edges:
+            return sorted(damage), body, False
+        # nodes are the ends of edges and of the words they touch; a word that no edge touches has one reading
+        leaving: dict[int, list[tuple[int, str, float, str]]] = {}
+        nodes = {0, len(body)}
+        for start, end, reading, cost, kind in edges:
+            leaving.setdefault(start, []).append((end, reading, cost, kind))
+            nodes |= {start, end}
+        at, touched = 0, []
+        spans = sorted((e[0], e[1]) for e in edges)
+        far = 0
+        for start, end in spans:
+            if start >= far:
+                touched.append([start, end])
+            else:
+                touched[-1][1] = max(touched[-1][1], end)
+            far = max(far, end)
+        for start, end in touched:
+            at = start
+            while (at := body.find(" ", at, end)) >= 0:
+                nodes |= {at, at + 1}
+                at += 1
+        order = sorted(nodes)
+        inside = iter(touched)
+        now = next(inside, None)
+        best: dict[int, tuple[float, int, str, str]] = {0: (0.0, -1, "", "")}
+        for i, start in enumerate(order[:-1]):
+            while now and now[1] <= start:
+                now = next(inside, None)
+            if start not in best:
+                continue
+            cost = best[start][0]
+            stop = order[i + 1]
+            kept = body[start:stop]
+            ways = leaving.get(start, [])
+            core = core_of(kept.strip()) if now and now[0] <= start else ""
+            for end, reading, more, kind in [*ways, (stop, kept, self.price(core) if core else self.floor if kept.strip() and now and now[0] <= start else 0.0, "")]:
+                if end not in best or cost + more < best[end][0]:
+                    best[end] = (cost + more, start, reading, kind)
+        at, out = len(body), []
+        while at > 0:
+            _, before, reading, kind = best[at]
+            out.append(reading)
+            if kind:
+                damage.add(kind)
+            at = before
+        read = "".join(reversed(out))
+        if "head" in damage or "stray" in damage:
+            read = re.sub(r" {2,}", " ", read).strip()
+        if read != body and len(read) < len(body):  # a dropped stretch may have stood in a broken word, a joined word may be misread
+            return self.decode(read, damage, heads, shouted, text)
+        return sorted(damage), read, False
+
+
+    def ending(self, text: str) -> str:
+        """How a text's end lies open: empty for closed ones."""
+        if not (m := _OPEN.search(text[-80:])):
+            return ""
+        if m[2]:
+            return "mark" if m[2] in ",;" else "hyphen"
+        return "small" if self.counts.get(m[1], 0) > self.total / 1000 else "word"
+
+
+def opening(text: str) -> str:
+    """What a text begins with: a small letter, or something else."""
+    return "small" if text[:1].islower() else "other" if text else ""
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -414,7 +512,7 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
     heads = book_heads(books)
     held = spark.sparkContext.broadcast((reader.counts, reader.total))
     n = heads.count()
-    schema = "rec_table string, book_id string, rec_ord long, kind string, damage array<string>, repaired string, furniture boolean, head string, tail string"
+    schema = "rec_table string, book_id string, rec_ord long, kind string, damage array<string>, repaired string, furniture boolean, head string, tail string, size int"
     local = None
     if n <= TITLES:
         local = spark.sparkContext.broadcast({r["book_id"]: tuple(h for h in r["heads"] if h) for r in heads.collect()})  # at most TITLES short rows
@@ -427,104 +525,158 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
     def names_of(book: str, own: list[str] | None) -> tuple[str, ...]:
         return local.value.get(book, ()) if local else tuple(own) if own is not None else ()
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = held.value
         read = Reader(known := _Counts(counts), total)
         for b in batches:
-            got = []
-            for key, book, kind, text, own, words, ns in zip(b["key"], b["book_id"], b["kind"], b["text"], b["heads"], b["words"], b["ns"]):
+            keys, asked = [], []
+            for key, book, kind, text, own, words, ns in zip(*(c.to_pylist() for c in b.columns)):
                 if kind == "paragraph" and text and text.strip():
                     known.turn(read, words, ns)
                     read.judge(text.strip(), names_of(book, own))
-                    got += [(key, w) for w in known.missed.union(known.own)]
-            yield pd.DataFrame(got, columns=["key", "word"])
+                    of = known.missed.union(known.own)
+                    keys += [key] * len(of)
+                    asked += of
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(asked, pa.string())], names=["key", "word"])
 
     recs = recs.withColumns({"words": F.lit(None).cast("array<string>"), "ns": F.lit(None).cast("array<long>")})
     if rest is not None:
         recs = cut_lineage(recs.withColumn("key", F.monotonically_increasing_id()))
         for _ in range(2):
-            asked = recs.select("key", "book_id", "kind", "text", "heads", "words", "ns").mapInPandas(ask, "key long, word string").join(rest, "word")
+            asked = recs.select("key", "book_id", "kind", "text", "heads", "words", "ns").mapInArrow(ask, "key long, word string").join(rest, "word")
             more = asked.groupBy("key").agg(F.collect_list(F.struct("word", "n")).alias("x")).select("key", F.col("x.word").alias("words"), F.col("x.n").alias("ns"))
             recs = recs.drop("words", "ns").join(more, "key", "left")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.string(), pa.bool_(), pa.string(), pa.string(), pa.int32()]
+    names = ["rec_table", "book_id", "rec_ord", "kind", "damage", "repaired", "furniture", "head", "tail", "size"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = held.value
         read = Reader(known := _Counts(counts) if more_words else counts, total)
         for b in batches:
             out = []
-            for table, book, rec, kind, text, own, words, ns in zip(b["rec_table"], b["book_id"], b["rec_ord"], b["kind"], b["text"], b["heads"], b["words"], b["ns"]):
+            for table, book, rec, kind, text, own, words, ns in zip(*(c.to_pylist() for c in b.columns)):
                 s = text.strip() if text else ""
                 if kind != "paragraph" or not s:
-                    out.append((table, book, rec, kind, [], None, False, s[:1], s[-4:]))
+                    out.append((table, book, rec, kind, [], None, False, s[:1], "", 0))
                     continue
                 if more_words:
                     known.turn(read, words, ns)
                 damage, fixed, whole = read.judge(s, names_of(book, own))
-                out.append((table, book, rec, kind, damage, fixed if damage else None, whole, s[:1], s[-4:]))
-            yield pd.DataFrame(out, columns=["rec_table", "book_id", "rec_ord", "kind", "damage", "repaired", "furniture", "head", "tail"])
+                out.append((table, book, rec, kind, damage, fixed if damage else None, whole, opening(fixed), read.ending(fixed), len(fixed)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], names=names)
 
-    return recs.select("rec_table", "book_id", "rec_ord", "kind", "text", "heads", "words", "ns").mapInPandas(run, schema)
+    return recs.select("rec_table", "book_id", "rec_ord", "kind", "text", "heads", "words", "ns").mapInArrow(run, schema)
 
 
-def with_neighbours(rows: DataFrame) -> DataFrame:
-    """rows with cut: the record and its next (`ahead`) or previous (`behind`) paragraph are halves of one.
+def open_links(rows: DataFrame) -> DataFrame:
+    """rec_table, book_id, rec_ord, tail, size, next: paragraphs whose end lies open, with the paragraph after them.
 
-    Records are keyed by book and range of RANGE order numbers; those within EDGE of a range's end also stand in
-    the next range, so every neighbour is met in one of them and no group is larger than RANGE + 2 EDGE keys.
+    The next record stands in the same range of RANGE order numbers, or opens the next range that has any; no window
+    holds more than a range's records or a book's ranges.
     """
-    r = F.floor(F.col("rec_ord") / RANGE)
-    at = F.col("rec_ord") % RANGE
-    spread = rows.where("rec_ord is not null and book_id is not null and not furniture and (kind <> 'paragraph' or tail <> '')").select(
-        "rec_table", "book_id", "rec_ord", "kind", "head", "tail", r.alias("own"),
-        F.explode(F.array_compact(F.array(r, F.when(at < EDGE, r - 1), F.when(at >= RANGE - EDGE, r + 1)))).alias("range"),
-    )
-    one = spread.groupBy("rec_table", "book_id", "range", "rec_ord", "own").agg(F.max("kind").alias("kind"), F.max("head").alias("head"), F.max("tail").alias("tail"))
-    w = W.partitionBy("rec_table", "book_id", "range").orderBy("rec_ord")
-    open_end = ~F.col("tail").rlike(r"[.!?…:][\"'”’»)\]]*$") & F.col("tail").rlike(r"[a-zà-öø-ÿł,;\-¬\xad]$")
-    small = F.col("head").rlike(r"^[a-zà-öø-ÿł]")
-    marked = one.select("*", (open_end & (F.col("kind") == "paragraph")).alias("open"), (small & (F.col("kind") == "paragraph")).alias("small"), (F.col("kind") == "paragraph").alias("p"), (F.col("own") == F.col("range")).alias("mine"))
-    # cost of a break less cost of a join at the boundary after a record: an open end speaks for a join, a small letter after it more so, a capital after it against
-    join_after = F.col("open") & F.lead("p").over(w) & (F.lead("small").over(w) | F.lead("head").over(w).rlike(r"^[A-ZÀ-ÖØ-ÞŁŚŻ\"“«]"))
-    flagged = marked.withColumn("joins", F.coalesce(join_after, F.lit(False))).withColumn("next_ord", F.when(F.col("joins"), F.lead("rec_ord").over(w)))
-    both = flagged.withColumn("joined", F.coalesce(F.lag("joins").over(w), F.lit(False)))
-    return both.where("mine and (joins or joined)").select("rec_table", "book_id", "rec_ord", "joins", "joined", "next_ord").distinct()
+    book = ["rec_table", "book_id"]
+    seen = rows.where("rec_ord is not null and book_id is not null and not furniture and (kind <> 'paragraph' or head <> '')").withColumn("range", F.floor(F.col("rec_ord") / RANGE))
+    one = seen.groupBy(*book, "range", "rec_ord").agg(*[F.max(c).alias(c) for c in ("kind", "head", "tail", "size")])
+    record = F.struct("rec_ord", "kind", "head", "size")
+    within = one.withColumn("after", F.lead(record).over(W.partitionBy(*book, "range").orderBy("rec_ord"))).where("kind = 'paragraph' and tail <> ''")
+    beyond = one.groupBy(*book, "range").agg(F.min(record).alias("first")).withColumn("beyond", F.lead("first").over(W.partitionBy(*book).orderBy("range"))).select(*book, "range", "beyond")
+    linked = within.join(beyond, [*book, "range"]).withColumn("next", F.coalesce("after", "beyond"))
+    return linked.where("next.kind = 'paragraph'").select(*book, "rec_ord", "tail", "size", "next")
+
+
+def boundaries(links: list[tuple[str, int, str, int]]) -> list[int]:
+    """For each record of a run the first record of its paragraph. links: (tail, size, head of the next, size of the next), one a boundary.
+
+    best[j] is the cheapest division of the first j records. A paragraph pays for what it joins and for its length
+    beyond LONG, a boundary between paragraphs for the open end it leaves.
+    """
+    sizes = [links[0][1], *(x[3] for x in links)]
+    until = [0]
+    for n in sizes:
+        until.append(until[-1] + n)
+    best, back = [0.0] * (len(sizes) + 1), [0] * (len(sizes) + 1)
+    joined = 0.0  # cost of joining all records so far
+    starts = [(0.0, 0)]  # (cost of a paragraph that begins at a record less what joining up to it would cost, record); none is cheaper and shorter than a later one
+    for j in range(1, len(sizes) + 1):
+        ways = [(g + joined + max(0.0, log((until[j] - until[i] + 1) / LONG)), -i) for g, i in starts]
+        best[j], i = min(ways)
+        back[j] = -i
+        if j < len(sizes):
+            tail, _, head, _ = links[j - 1]
+            joined += 0.0 if head == "small" else CAPITAL
+            g = best[j] + BREAKS[tail] - joined
+            starts = [(h, i) for h, i in starts if h < g] + [(g, j)]
+            least = starts[0][0]
+            starts = [(h, i) for h, i in starts if h < least + log((until[-1] + 1) / LONG + 1) + 1e-9]
+    out, j = [0] * len(sizes), len(sizes)
+    while j > 0:
+        for k in range(back[j], j):
+            out[k] = back[j]
+        j = back[j]
+    return out
+
+
+def paragraph_runs(rows: DataFrame) -> DataFrame:
+    """rec_table, book_id, rec_ord, start: the records whose paragraph other records share, with the first of these."""
+    book = ["rec_table", "book_id"]
+    links = cut_lineage(open_links(rows))
+    both = links.select(*book, "rec_ord", F.lit(False).alias("joined")).unionByName(links.select(*book, F.col("next.rec_ord").alias("rec_ord"), F.lit(True).alias("joined")))
+    starts = run_starts(both.groupBy(*book, "rec_ord").agg(F.max("joined").alias("joined")))
+    # one row a run of open ends: a few numbers for each of its records, no text
+    link = F.struct("rec_ord", F.col("next.rec_ord").alias("next_ord"), "tail", "size", F.col("next.head").alias("head"), F.col("next.size").alias("next_size"))
+    runs = links.join(starts, [*book, "rec_ord"]).groupBy(*book, "start").agg(F.sort_array(F.collect_list(link)).alias("links"))
+
+    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for table, book_id, links in zip(*(c.to_pylist() for c in b.columns)):
+                ords = [links[0]["rec_ord"], *(x["next_ord"] for x in links)]
+                first = boundaries([(x["tail"], x["size"], x["head"], x["next_size"]) for x in links])
+                shared = Counter(first)
+                out += [(table, book_id, ords[k], ords[i]) for k, i in enumerate(first) if shared[i] > 1]
+            columns = zip(*out) if out else ([],) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["rec_table", "book_id", "rec_ord", "start"])
+
+    return runs.select(*book, "links").mapInArrow(divide, "rec_table string, book_id string, rec_ord long, start long")
 
 
 def damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(records with damage of their own, halves of cut paragraphs)."""
+    """(records with damage of their own, records of paragraphs that page ends cut)."""
     recs = records(spark, sf_dir)
-    reader, rest = build_reader(read_table(spark, sf_dir, "blocks").where("kind = 'paragraph'"))
+    reader, rest = build_reader(recs.where("kind = 'paragraph'"))
     rows = cut_lineage(judged(recs, read_table(spark, sf_dir, "book_specs"), reader, rest))
-    return rows, with_neighbours(rows)
+    return rows, paragraph_runs(rows)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """rec_table, book_id, rec_ord of the damaged records."""
-    rows, halves = damaged(spark, sf_dir)
+    rows, parts = damaged(spark, sf_dir)
     own = rows.where("size(damage) > 0").select("rec_table", "book_id", "rec_ord")
-    return own.unionByName(halves.select("rec_table", "book_id", "rec_ord")).distinct()
+    return own.unionByName(parts.select("rec_table", "book_id", "rec_ord")).distinct()
 
 
 def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Damaged records with their damage and the repaired text; the first half of a cut paragraph has all of it, furniture none."""
-    rows, halves = damaged(spark, sf_dir)
+    """Damaged records with their damage and the repaired text; the first part of a cut paragraph has all of it, its other parts and furniture none."""
+    rows, parts = damaged(spark, sf_dir)
     keys = ["rec_table", "book_id", "rec_ord"]
-    texts = records(spark, sf_dir).groupBy(*keys).agg(F.max("text").alias("text"))
-    own = rows.groupBy(*keys).agg(F.first("damage").alias("damage"), F.max("repaired").alias("repaired"), F.max("furniture").alias("furniture"))
-    hit = own.join(halves, keys, "left").where("size(damage) > 0 or joins or joined").join(texts, keys)
-    hit = hit.withColumn("body", F.coalesce("repaired", F.trim(F.regexp_replace("text", r"\s*\n\s*", " "))))
-    joins, joined = F.coalesce("joins", F.lit(False)), F.coalesce("joined", F.lit(False))
-    kinds = F.array_distinct(F.concat("damage", F.when(joins | joined, F.array(F.lit("cut"))).otherwise(F.array().cast("array<string>"))))
-    out = hit.select(*keys, kinds.alias("damage"), "body", "furniture", joins.alias("joins"), joined.alias("joined"), "next_ord")
-    # a run of joined neighbours stands on its first record
-    firsts = run_starts(out.where("joins or joined").select(*keys, "joined", "next_ord"))
-    parts = out.where("joins or joined").select(*keys, "body").join(firsts, keys)
-    whole = parts.groupBy("rec_table", "book_id", "start").agg(F.sort_array(F.collect_list(F.struct("rec_ord", "body"))).alias("parts")).select("rec_table", "book_id", F.col("start").alias("rec_ord"), joined_text(F.col("parts")).alias("whole"))
-    return out.join(whole, keys, "left").select(*keys, "damage", F.when(F.col("joined") | F.col("furniture"), F.lit("")).otherwise(F.coalesce("whole", "body")).alias("repaired"))
+    parts = cut_lineage(parts)
+    # texts of parts without damage; while these are few their keys are broadcast and no other text is shuffled
+    texts = records(spark, sf_dir).join(small_broadcast(parts, parts.count()), keys).groupBy(*keys).agg(F.max("text").alias("text"))
+    own = rows.where("size(damage) > 0").groupBy(*keys).agg(F.max("damage").alias("damage"), F.max("repaired").alias("repaired"), F.max("furniture").alias("furniture"))
+    hit = own.join(parts.join(texts, keys), keys, "full").withColumn("body", F.coalesce("repaired", F.trim(F.regexp_replace("text", r"\s*\n\s*", " "))))
+    cut = F.when(F.col("start").isNotNull(), F.array(F.lit("cut"))).otherwise(F.array().cast("array<string>"))
+    out = hit.select(*keys, F.concat(F.coalesce("damage", F.array().cast("array<string>")), cut).alias("damage"), "body", F.coalesce("furniture", F.lit(False)).alias("furniture"), "start")
+    whole = (
+        out.where("start is not null").groupBy("rec_table", "book_id", "start").agg(F.sort_array(F.collect_list(F.struct("rec_ord", "body"))).alias("parts"))
+        .select("rec_table", "book_id", F.col("start").alias("rec_ord"), joined_text(F.col("parts")).alias("whole"))
+    )
+    later = F.coalesce(F.col("start") != F.col("rec_ord"), F.lit(False))
+    return out.join(whole, keys, "left").select(*keys, "damage", F.when(later | F.col("furniture"), F.lit("")).otherwise(F.coalesce("whole", "body")).alias("repaired"))
 
 
 def run_starts(halves: DataFrame) -> DataFrame:
-    """rec_table, book_id, rec_ord, start: the first record of each run of joined neighbours.
+    """rec_table, book_id, rec_ord, start: the first record of each run of neighbours; joined: the one before is of its run.
 
     Runs are numbered inside ranges of RANGE order numbers, then those that go on over a range's end are
     numbered over ranges; no window holds more than a range's records or a book's ranges that open with a joined record.

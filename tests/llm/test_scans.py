@@ -1,3 +1,5 @@
+import math
+
 import pytest
 
 from quire.llm import scans as s
@@ -81,6 +83,75 @@ def test_all_page_numbers_and_heads_in_a_text():
     assert reader.judge(text, ("the quiet sea",)) == (["head"], want, False)
 
 
+LEXICON = {w: 1000 for w in "the old lantern stood near harbor and nobody had thought of it since winter they walked together into garden was open".split()} | {"the": 60_000, "of": 30_000, "and": 20_000, "in": 5_000, "to": 5_000}
+
+
+def test_splits_merges_and_joint_repairs():
+    reader = s.Reader(dict(LEXICON), sum(LEXICON.values()))
+    want = "they walked together into the garden near the harbor"
+    for text, kinds in (
+        ("they walkedtogether into the garden near the harbor", ["split"]), ("they walked toge ther into the garden near theharbor", ["split"]), ("they walked together intothegarden near the harbor", ["split"]),
+        ("they walked toge- tber into the garden near the harbor", ["hyphen"]), ("they wa1ked tog ether into tbe garden near the har- bor", ["hyphen", "misread", "split"]), ("they walked together into the gar- 12 den near | the harbor", ["head", "hyphen", "stray"]),
+    ):
+        assert reader.judge(text, ()) == (kinds, want, False), text
+    for text in (want, "Theharbor of Walkedtogether was open", "the unheard zufava stood near the harbor", "it was in to the garden", "harbor lantern winter"):
+        assert reader.judge(text, ()) == ([], text, False)
+
+
+def test_names_with_two_confusions():
+    reader = s.Reader({**LEXICON, "marlene": 900}, sum(LEXICON.values()) + 900)
+    assert reader.judge("the garden of Marlcnc was open", ())[1] == "the garden of Marlene was open"
+
+
+def test_boundaries_are_the_cheapest(rng):
+    def cost(links, starts):
+        sizes, total = [links[0][1], *(x[3] for x in links)], 0.0
+        for k, (tail, _, head, _) in enumerate(links):
+            total += (0.0 if head == "small" else s.CAPITAL) if starts[k] == starts[k + 1] else s.BREAKS[tail]
+        for i in set(starts):
+            total += max(0.0, math.log((sum(n for n, of in zip(sizes, starts) if of == i) + 1) / s.LONG))
+        return total
+
+    for _ in range(60):
+        n = rng.randint(1, 7)
+        sizes = [rng.choice([40, 900, 4000, 90_000]) for _ in range(n + 1)]
+        links = [(rng.choice(list(s.BREAKS)), sizes[i], rng.choice(["small", "other"]), sizes[i + 1]) for i in range(n)]
+        every = []
+        for bits in range(2**n):
+            starts = [0]
+            for i in range(n):
+                starts.append(i + 1 if bits >> i & 1 else starts[-1])
+            every.append(cost(links, starts))
+        assert abs(cost(links, s.boundaries(links)) - min(every)) < 1e-6
+
+
+def test_every_part_stands_in_one_paragraph(spark, folder, rng):
+    """Each kept word stands in exactly one repaired paragraph, wherever pages end."""
+    vocabulary = [w for w in " ".join(CLEAN).split() if w.isalpha()]
+    rows, words = [], {}
+    for b in range(6):
+        at = rng.randint(0, 40)
+        for k in range(rng.randint(200, 300)):
+            text = f"She {' '.join(rng.choice(vocabulary).lower() for _ in range(rng.randint(3, 12)))} w{chr(97 + b)}{'abcdefghij'[k % 10] * (1 + k // 10)}x" if rng.random() < 0.4 else f"{' '.join(rng.choice(vocabulary).lower() for _ in range(rng.randint(3, 12)))} of it."
+            rows.append((f"c{b}", at, "paragraph", text))
+            words[f"c{b}", at] = text.split()
+            at += rng.choice([1, 1, 2, 9])
+    rows += [(f"b{b}", i, "paragraph", t) for b in range(8) for i, t in enumerate(CLEAN * 4)]
+    d = folder(blocks=(rows, BLOCKS), paragraphs=([], PARAS), book_specs=([], BOOKS))
+    got = s.p4_repaired(spark, d).collect()
+    assert {tuple(r["damage"]) for r in got} == {("cut",)}, [r for r in got if r["damage"] != ["cut"]][:5]
+    assert sorted(w for r in got if "cut" in r["damage"] for w in r["repaired"].split()) == sorted(w for r in got if "cut" in r["damage"] for w in words[r["book_id"], r["rec_ord"]])
+    assert len({(r["book_id"], r["rec_ord"]) for r in got}) == len(got) > 300
+
+
+def test_ends_far_apart_over_a_range(spark, folder):
+    rows = [("far", s.RANGE - 4, "paragraph", "She had never promised the"), ("far", s.RANGE + 8, "paragraph", "treaty to anybody."), ("far", 9 * s.RANGE, "paragraph", "He laughed at the merchant and")]
+    rows += [("far", 20 * s.RANGE, "paragraph", "walked through the garden."), ("far", 20 * s.RANGE + 1, "heading", "Two")] + [(f"b{b}", i, "paragraph", t) for b in range(8) for i, t in enumerate(CLEAN * 4)]
+    d = folder(blocks=(rows, BLOCKS), paragraphs=([], PARAS), book_specs=([], BOOKS))
+    got = {r["rec_ord"]: r["repaired"] for r in s.p4_repaired(spark, d).collect()}
+    assert got == {s.RANGE - 4: "She had never promised the treaty to anybody.", s.RANGE + 8: "", 9 * s.RANGE: "He laughed at the merchant and walked through the garden.", 20 * s.RANGE: ""}
+
+
 def test_capitals_are_judged_over_the_whole_text():
     start = "THE OLD LANTERN STOOD NEAR THE HARBOR AND NOBODY HAD THOUGHT OF IT. " * 5
     assert s.is_shouted(start) and not s.is_shouted(start + start.lower() * 2)
