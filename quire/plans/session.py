@@ -11,8 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest driver-side object that may be broadcast, in bytes.
-BROADCAST_LIMIT = 64 << 20
+#: Largest relation that may be broadcast, in bytes as Spark holds it: a row's numbers and 40 bytes for each of its strings and arrays.
+BROADCAST_LIMIT = 256 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,21 +26,19 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master without that setting gets a temporary folder of its own.
     """
     sc = spark.sparkContext
+    held = sc._jsc.sc().getCheckpointDir
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if not sc._jsc.sc().getCheckpointDir().isDefined():
-            sc.setCheckpointDir(named)
-        return named
-    held = sc._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get()
+    if named and not held().isDefined():
+        sc.setCheckpointDir(named)
+    if held().isDefined():
+        return held().get()  # with the file system that Spark resolved the setting to
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="quire-")
     atexit.register(shutil.rmtree, folder, True)
     sc._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # files go with their relation
     sc.setCheckpointDir(f"file://{folder}")
-    return f"file://{folder}"
+    return held().get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -49,9 +47,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_bytes(df: DataFrame) -> int:
+    """What a row takes in a broadcast relation: 16 bytes and 8 a column, 40 more for each string, binary or nested value."""
+    fixed = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"}
+    return 16 + sum(8 + 40 * (f.dataType.simpleString() not in fixed) for f in df.schema)
+
+
 def small_broadcast(df: DataFrame, rows: int, limit_rows: int = 200_000) -> DataFrame:
-    """Mark df for broadcast only while its counted size is under a proven bound."""
-    return F.broadcast(df) if rows <= limit_rows else df
+    """Mark df for broadcast only while its counted rows are within limit_rows and its bytes within BROADCAST_LIMIT."""
+    return F.broadcast(df) if rows <= limit_rows and rows * row_bytes(df) <= BROADCAST_LIMIT else df
 
 
 def most_frequent(counts: DataFrame, size: int, count: str = "n") -> DataFrame:
