@@ -11,6 +11,7 @@ anything else; every row of the input gives one row, repeated or not.
 
 from __future__ import annotations
 
+import atexit
 import base64
 import os
 import re
@@ -131,9 +132,10 @@ def encode_documents(docs: DataFrame, text: str = "text", folder: str = TOKENIZE
     to = urlparse(shared_dir(spark))
     key, held = uuid.uuid4().hex, None
     path = os.path.join(to.path, f"lexicon-{key}.bin")
-    if to.scheme in ("", "file"):
+    if to.scheme == "file":  # a disk that workers see; the driver removes the file when it ends, as tasks may be run again until then
         os.makedirs(to.path, exist_ok=True)
         Path(path).write_bytes(block)
+        atexit.register(Path(path).unlink, missing_ok=True)
     else:
         held = spark.sparkContext.broadcast(block)  # a few MB, by LEXICON
     vocabulary = spark.sparkContext.broadcast(ranks)  # the vocabulary's own size

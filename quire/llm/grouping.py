@@ -2,12 +2,14 @@
 
 Books are nodes, normalised author names, series names and source files are nodes too; a book is joined to each
 of its keys, and connected components give the groups. For the splits, the weights of the components (chunks)
-are balanced by k-way largest differencing: in each partition into BINS bins, and the partitions' bins once
-more on the driver (at most BINS a partition, whatever the data), then whole bins go to the splits.
+are balanced by k-way largest differencing: parts of PART components into BINS bins each, the bins of GATHERED parts
+into BINS bins, and so on up a tree until the driver balances the last few; then whole bins go to the splits. Parts
+are fixed by hashes and counts, not by how the data happen to be partitioned.
 
 Defined results: null, blank and placeholder names relate nothing; a null book_id is left out of groups and
 its chunks get split null; repeated rows count once. A short given name ("W. Duputeld") is the same as the one
-full name it fits; where it fits several, it is a name of its own.
+full name it fits; where it fits several, it is a name of its own. Short and full names meet on a long word and an
+initial; a name of one of each needs only the smallest and largest full name there, so no group of names is gathered.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from __future__ import annotations
 import heapq
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.plans.components import connected_components
-from quire.plans.session import cut_lineage, read_table
+from quire.plans.session import cut_lineage, read_table, small_broadcast
 
 #: Names that stand for no name.
 PLACEHOLDERS = {
@@ -73,44 +74,53 @@ def series_key(name: str | None) -> str | None:
     return None if " ".join(words) in PLACEHOLDERS else " ".join(words)
 
 
-def _resolve(forms: list[str]) -> dict[str, str]:
-    """Short forms of one surname to the full form they fit, if it is the only one."""
-    full = [f.split() for f in forms if not f.endswith(".")]
-    out = {}
-    for f in forms:
-        if not f.endswith("."):
-            continue
-        words = f.split()
-        long, short = [w for w in words if not w.endswith(".")], [w[:-1] for w in words if w.endswith(".")]
-        fits = []
-        for g in full:
-            rest = list(g)
-            if not all(w in rest and (rest.remove(w) or True) for w in long):
-                continue
-            left = list(rest)
-            if all((hit := next((w for w in left if w.startswith(s)), None)) and (left.remove(hit) or True) for s in short) and len(left) <= max(0, len(rest) - len(short)):
-                fits.append(" ".join(g))
-        if len(set(fits)) == 1:
-            out[f] = fits[0]
-    return out
+def fits(short: str, full: str) -> bool:
+    """Whether a form with shortened words stands for a full one: its long words are there, and each short one begins another word."""
+    rest = full.split()
+    for w in (w for w in short.split() if not w.endswith(".")):
+        if w not in rest:
+            return False
+        rest.remove(w)
+    for s in (w[:-1] for w in short.split() if w.endswith(".")):
+        hit = next((w for w in rest if w.startswith(s)), None)
+        if hit is None:
+            return False
+        rest.remove(hit)
+    return True
+
+
+def resolved(forms: DataFrame) -> DataFrame:
+    """form, to: short forms (column form) with the full form they fit, if it is the only one."""
+
+    @F.pandas_udf("boolean")
+    def fit(short: pd.Series, full: pd.Series) -> pd.Series:
+        return pd.Series([fits(a, b) for a, b in zip(short, full)], dtype=bool)
+
+    words = F.split("form", " ")
+    dotted = lambda w: w.endswith(".")
+    f = forms.select("form", F.filter(words, lambda w: ~dotted(w)).alias("long"), F.filter(words, dotted).alias("short")).where("size(long) > 0").distinct()
+    # a full form meets on each of its words with the initial of each other
+    pairs = F.explode(F.transform(F.sequence(F.lit(0), F.size("long") - 1), lambda i: F.struct(F.element_at("long", i + 1).alias("w"), i.alias("i"))))
+    full = f.where("size(short) = 0 and size(long) > 1").select("form", "long", pairs.alias("a"))
+    full = full.select("form", F.explode(F.array_distinct(F.transform(F.filter("long", lambda w, j: j != F.col("a.i")), lambda w: F.concat_ws("|", F.col("a.w"), F.substring(w, 1, 1))))).alias("at"))
+    full = cut_lineage(full.distinct())
+    wanted = f.where("size(short) > 0").withColumn("at", F.concat_ws("|", F.element_at("long", 1), F.substring(F.element_at("short", 1), 1, 1)))
+    plain = F.expr("size(long) = 1 and size(short) = 1 and length(short[0]) = 2")
+    ends = full.groupBy("at").agg(F.min("form").alias("to"), F.max("form").alias("other"))
+    simple = wanted.where(plain).select("form", "at").join(ends, "at").select("form", "to", "other")
+    rest = wanted.where(~plain).select("form", "at").join(full.select("at", F.col("form").alias("full")), "at").where(fit("form", "full")).groupBy("form").agg(F.min("full").alias("to"), F.max("full").alias("other"))
+    return simple.unionByName(rest).where("to = other").select("form", "to")
 
 
 def _author_names(books: DataFrame) -> DataFrame:
-    """author (raw), key: the raw spelling's resolved name. Distinct spellings meet on each long word of theirs."""
+    """author (raw), key: the raw spelling's resolved name."""
 
     @F.pandas_udf("string")
     def key_of(names: pd.Series) -> pd.Series:
         return names.map(author_key)
 
-    @F.pandas_udf("array<struct<form:string,to:string>>")
-    def resolve(groups: pd.Series) -> pd.Series:
-        return groups.map(lambda g: [{"form": f, "to": t} for f, t in _resolve(sorted(g)).items()])
-
-    raw = books.select("author").where("author is not null").distinct().withColumn("form", key_of("author")).where("form is not null")
-    words = raw.select("form", F.explode(F.filter(F.split("form", " "), lambda w: ~w.endswith("."))).alias("word")).distinct()
-    short = words.groupBy("word").agg(F.collect_set("form").alias("forms"), F.max(F.col("form").endswith(".")).alias("any")).where("any")
-    fits = short.select(F.explode(resolve("forms")).alias("r")).select("r.form", "r.to").groupBy("form").agg(F.min("to").alias("to"), F.max("to").alias("other")).where("to = other")
-    return raw.join(fits.select("form", "to"), "form", "left").select("author", F.coalesce("to", "form").alias("key"))
+    raw = cut_lineage(books.select("author").where("author is not null").distinct().withColumn("form", key_of("author")).where("form is not null"))
+    return raw.join(resolved(raw.select("form")), "form", "left").select("author", F.coalesce("to", "form").alias("key"))
 
 
 def book_keys(books: DataFrame) -> DataFrame:
@@ -140,8 +150,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book_groups(read_table(spark, sf_dir, "book_specs")).where("group_id < book_id").select("group_id", "book_id")
 
 
-#: Bins of each balancing step.
-BINS = 128
+#: Bins of each balancing step, components of a part, parts whose bins are balanced together.
+BINS, PART, GATHERED = 128, 200_000, 64
 
 
 def largest_differencing(weights: list[tuple[int, object]], bins: int) -> list[tuple[int, list]]:
@@ -169,6 +179,47 @@ def largest_differencing(weights: list[tuple[int, object]], bins: int) -> list[t
     return got + [(0, [])] * (bins - len(got))
 
 
+def binned(rows: DataFrame, parts: int) -> DataFrame:
+    """id, bin, bin_w: rows (id, w) of each part in BINS bins."""
+
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        got = [(int(w), g) for b in batches for g, w in zip(b["id"], b["w"])]
+        out = [(g, f"{part}-{i}", w) for i, (w, gs) in enumerate(largest_differencing(got, BINS)) for g in gs]
+        yield pd.DataFrame(out, columns=["id", "bin", "bin_w"])
+
+    return cut_lineage(rows.repartition(parts, "id").sortWithinPartitions("id").mapInPandas(local, "id string, bin string, bin_w long"))
+
+
+def spread(comps: DataFrame, plan: dict[str, float]) -> DataFrame:
+    """group_id, split: whole bins of components (group_id, w) to the split that lacks most of its share, heavy bins first."""
+    levels = []
+    rows, n = comps.select(F.col("group_id").alias("id"), "w"), comps.count()
+    parts = -(-n // PART) or 1
+    while True:
+        level = binned(rows, parts)
+        levels.append(level)
+        if parts == 1:
+            break
+        rows, parts = level.select(F.col("bin").alias("id"), F.col("bin_w").alias("w")).distinct(), -(-parts // GATHERED)
+    bins = sorted((-r["bin_w"], r["bin"]) for r in levels[-1].select("bin", "bin_w").distinct().collect())  # at most BINS
+    need = {s: f * -sum(w for w, _ in bins) for s, f in plan.items()}
+    chosen = []
+    for w, b in bins:
+        split = max(sorted(need), key=lambda s: need[s])
+        need[split] += w
+        chosen.append((b, split))
+    to = comps.sparkSession.createDataFrame(chosen, "bin string, split string")
+    for level in reversed(levels):
+        rows = to.count()
+        to = level.join(small_broadcast(to, rows), "bin").select("id", "split")
+        if level is not levels[0]:
+            to = to.withColumnRenamed("id", "bin")
+    return to.withColumnRenamed("id", "group_id")
+
+
 def assign_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, book_id, group_id, split of every chunk."""
     chunks = read_table(spark, sf_dir, "chunks").select("id", "book_id").distinct()
@@ -178,26 +229,7 @@ def assign_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = sizes.join(groups, "book_id", "left").withColumn("group_id", F.coalesce("group_id", "book_id"))
     comps = weights.groupBy("group_id").agg(F.sum("n").alias("w"))
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        got = [(int(w), g) for b in batches for w, g in zip(b["w"], b["group_id"])]
-        rows = [(g, f"{part}-{i}", w) for i, (w, gs) in enumerate(largest_differencing(got, BINS)) for g in gs]
-        yield pd.DataFrame(rows, columns=["group_id", "bin", "bin_w"])
-
-    binned = cut_lineage(comps.mapInPandas(local, "group_id string, bin string, bin_w long"))
-    bins = [(r["bin_w"], r["bin"]) for r in binned.select("bin", "bin_w").distinct().collect()]  # at most BINS a partition
-    total = sum(w for w, _ in bins)
-    need = {s: f * total for s, f in plan.items()}
-    where = defaultdict(str)
-    for w, members in sorted(largest_differencing(bins, BINS), key=lambda t: -t[0]):
-        split = max(sorted(need), key=lambda s: need[s])
-        need[split] -= w
-        for m in members:
-            where[m] = split
-    table = spark.createDataFrame([(b, s) for b, s in where.items()] or [], "bin string, split string")
-    to = binned.join(F.broadcast(table), "bin").select("group_id", "split")
+    to = spread(cut_lineage(comps), plan)
     books = weights.join(to, "group_id").select("book_id", "group_id", "split")
     return chunks.join(books, "book_id", "left").select("id", "book_id", "group_id", "split")
 

@@ -4,7 +4,9 @@ The passages are indexed by runs of TERM words; each posting holds its BM25 impa
 score, so a full copy scores about 1 and one threshold serves all passages. Postings are in passage order, in
 blocks that know their largest impact. Every document is a query: its runs that the index knows drive WAND,
 which skips whole blocks that cannot lift a passage over the threshold. What it retrieves is verified on the
-words: stretches along one diagonal, single changed words allowed, at most two of them, in order.
+words: stretches along one diagonal, single changed words allowed, at most two of them, in order. Around the
+stretches of a leak the item's question and answer are looked for, in order and in unbroken text, and the leak is
+classed by what stands there: the passage alone, with its question, with its answer, or with both.
 
 The index is built in blocks of ITEM_BLOCK passages, each broadcast within that size; more items mean more passes.
 
@@ -30,8 +32,10 @@ from quire.plans.session import read_table
 
 #: Words a term; passages a block of postings; passages an index; BM25's k1 and b; score and share of words needed.
 TERM, POSTINGS, ITEM_BLOCK, K1, B, THRESHOLD, SHARE = 5, 16, 20_000, 1.2, 0.75, 0.03, 0.4
-#: Matched words a stretch needs (two phrases of everyday language are no leak), and words that must match beside a changed one.
-STRETCH, FLANK = 10, 6
+#: Matched words a stretch needs (two phrases of everyday language are no leak), or this share of a short passage; what a changed word costs in matched ones.
+STRETCH, PART, CHANGED = 10, 0.2, 4
+#: Words around a stretch in which question and answer are looked for; share of the question's words that must stand there in order.
+NEAR, ASKED = 80, 0.8
 _TAG = re.compile(r"<[^<>]*>|\]\([^)\s]*\)")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -116,52 +120,114 @@ class ItemIndex:
 
 
 def stretches(passage: list[str], words: list[str], at: dict[tuple[str, ...], list[int]]) -> list[tuple[int, int, int, int]]:
-    """(first, end) in the passage, first in the document, matched words: runs along a diagonal, single changed words inside."""
+    """(first, end) in the passage, first in the document, matched words: the runs along each diagonal of most matches less CHANGED for each changed word, none next to another."""
     diagonals: dict[int, list[int]] = defaultdict(list)
     for i, t in enumerate(terms_of(passage)):
         for j in at.get(t, ()):
             diagonals[j - i].append(i)
     out = []
+    size = min(TERM, len(passage))
     for d, starts in diagonals.items():
         lo, hi = max(0, -d), min(len(passage), len(words) - d)
         end = -1
         for i in starts:
             if i < end:
                 continue
-            a, e = i, i + min(TERM, len(passage))
-            while a > lo:
-                near = range(max(lo, a - 1 - FLANK), a - 1)
-                if passage[a - 1] != words[a - 1 + d] and (len(near) < 2 or any(passage[k] != words[k + d] for k in near)):
-                    break
-                a -= 1
-            while e < hi:
-                near = range(e + 1, min(hi, e + 1 + FLANK))
-                if passage[e] != words[e + d] and (len(near) < 2 or any(passage[k] != words[k + d] for k in near)):
-                    break
-                e += 1
+            a = _reach(passage, words, d, i - 1, lo - 1, -1) + 1
+            e = _reach(passage, words, d, i + size, hi, 1)
             end = e
             out.append((a, e, a + d, sum(passage[k] == words[k + d] for k in range(a, e))))
     return out
 
 
-def overlap(passage: list[str], words: list[str], at: dict[tuple[str, ...], list[int]]) -> float:
-    """Share of the passage's words in the best one or two stretches that stand in order."""
-    runs = sorted(r for r in stretches(passage, words, at) if r[3] >= min(STRETCH, len(passage)))
-    best = max((r[3] for r in runs), default=0)
+def _reach(passage: list[str], words: list[str], d: int, at: int, stop: int, step: int) -> int:
+    """Where a run that holds up to `at` ends in one direction: behind its best-scoring extension."""
+    best, score, high, changed = at, 0, 0, False
+    while at != stop:
+        if passage[at] == words[at + d]:
+            score, changed = score + 1, False
+            if score > high:
+                high, best = score, at + step
+        else:
+            score -= CHANGED
+            if changed or score < high - 2 * CHANGED:
+                break
+            changed = True
+        at += step
+    return best
+
+
+def overlap(passage: list[str], words: list[str], at: dict[tuple[str, ...], list[int]]) -> tuple[float, list[tuple[int, int]]]:
+    """(share of the passage's words in the best one or two stretches that stand in order, where these lie in the document)."""
+    need = min(STRETCH, max(TERM + 1, int(PART * len(passage))), len(passage))
+    runs = sorted(r for r in stretches(passage, words, at) if r[3] >= need)
+    best, spans = 0, []
+    for a, e, j, n in runs:
+        if n > best:
+            best, spans = n, [(j, j + e - a)]
     for x, (a, e, j, n) in enumerate(runs):
         for b, f, k, m in runs[x + 1 :]:
-            if k >= j + (e - a) and n + m > best:  # a later stretch that overlaps in the passage counts its rest
-                both = n + m - max(0, e - b)
-                best = max(best, both if f > e else n)
-    return best / len(passage) if passage else 0.0
+            if k >= j + (e - a) and f > e and (both := n + m - max(0, e - b)) > best:  # a later stretch that overlaps in the passage counts its rest
+                best, spans = both, [(j, j + e - a), (k, k + f - b)]
+    return (best / len(passage) if passage else 0.0), spans
+
+
+def in_order(words: list[str], text: list[str]) -> int:
+    """Length of the longest common subsequence, bit-parallel over text."""
+    at: dict[str, int] = {}
+    for i, w in enumerate(text):
+        at[w] = at.get(w, 0) | 1 << i
+    full = (1 << len(text)) - 1
+    v = full
+    for w in words:
+        u = v & at.get(w, 0)
+        v = (v + u | v - u) & full
+    return len(text) - v.bit_count()
+
+
+def around(words: list[str], spans: list[tuple[int, int]]) -> list[list[str]]:
+    """The pieces of a document within NEAR words of its stretches, without these."""
+    free = set()
+    for a, b in spans:
+        free |= set(range(max(0, a - NEAR), min(len(words), b + NEAR)))
+    for a, b in spans:
+        free -= set(range(a, b))
+    pieces: list[list[str]] = []
+    last = None
+    for i in sorted(free):
+        if last is None or i != last + 1:
+            pieces.append([])
+        pieces[-1].append(words[i])
+        last = i
+    return pieces
+
+
+def asked(question: list[str], pieces: list[list[str]]) -> float:
+    """Largest share of the question's words that stand in order within a window of twice its length."""
+    if not question:
+        return 0.0
+    best = 0
+    for p in pieces:
+        for i in range(0, max(1, len(p) - len(question) + 1), max(1, len(question) // 2)):
+            best = max(best, in_order(question, p[i : i + 2 * len(question)]))
+    return best / len(question)
+
+
+def answered(answer: list[str], pieces: list[list[str]]) -> bool:
+    """Whether the answer stands somewhere as a phrase."""
+    n = len(answer)
+    return n > 0 and any(p[i : i + n] == answer for p in pieces for i in range(len(p) - n + 1))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
-    """doc_id, item_id, share, question_words, has_answer for every document and item it leaks."""
+    """doc_id, item_id, share of the passage, question_share and has_answer near it, kind for every document and item it leaks.
+
+    kind is passage, passage+question, passage+answer or passage+question+answer.
+    """
     spark = docs.sparkSession
     rows = items.select("item_id", "passage", "question", "answer").dropDuplicates(["item_id"]).orderBy("item_id")
     local = rows.toPandas()  # the held-out items: a fixed table, worked in blocks of ITEM_BLOCK passages
-    schema = "doc_id long, item_id long, share double, question_words double, has_answer boolean"
+    schema = "doc_id long, item_id long, share double, question_share double, has_answer boolean, kind string"
     parts = []
     grouped = defaultdict(list)
     for r in local.itertuples():
@@ -180,8 +246,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
                 out = []
                 for doc_id, text in zip(batch["doc_id"], batch["text"]):
                     words = words_of(text)
-                    terms = terms_of(words)
-                    hits = {t for t in terms if t in lists}
+                    hits = lists.keys() & set(terms_of(words))
                     for size in sizes:
                         hits.update(t for t in terms_of(words, size) if t in lists)
                     if not hits:
@@ -194,15 +259,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
                         for j, t in enumerate(terms_of(words, size)):
                             if t in hits:
                                 at[t].append(j)
-                    have = None
                     for d in found:
-                        got = overlap(index.words[d], words, at)
+                        got, spans = overlap(index.words[d], words, at)
                         if got >= share:
-                            have = have or set(words)
+                            near = around(words, spans)
                             for item, question, answer in members[d]:
-                                q = sum(w in have for w in question) / len(question) if question else 0.0
-                                out.append((doc_id, item, got, q, bool(answer) and all(w in have for w in answer)))
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "question_words", "has_answer"])
+                                q, has = asked(question, near), answered(answer, near)
+                                out.append((doc_id, item, got, q, has, "passage" + "+question" * (q >= ASKED) + "+answer" * has))
+                yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "question_share", "has_answer", "kind"])
 
         parts.append(docs.select("doc_id", "text").where("text is not null").mapInPandas(run, schema))
     return reduce(DataFrame.unionByName, parts)
@@ -214,12 +278,15 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pairs with the share of the passage, of the question's words, and whether the answer's words stand in the document."""
+    """The pairs with the share of the passage, what stands near it of question and answer, and the kind of leak that makes."""
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "heldout_items"))
 
 
 def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that leak each item, items without any included."""
     items = read_table(spark, sf_dir, "heldout_items").select("item_id", "suite").dropDuplicates(["item_id"])
-    per = p8_leaks(spark, sf_dir).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.round(F.max("share"), 4).alias("largest_share"))
-    return items.join(per, "item_id", "left").select("item_id", "suite", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "largest_share")
+    per = p8_leaks(spark, sf_dir).groupBy("item_id").agg(
+        F.countDistinct("doc_id").alias("n_docs"), F.round(F.max("share"), 4).alias("largest_share"), *[F.countDistinct(F.when(F.col("kind").contains(k), F.col("doc_id"))).alias(f"n_with_{k}") for k in ("question", "answer")]
+    )
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return items.join(per, "item_id", "left").select("item_id", "suite", zero("n_docs"), zero("n_with_question"), zero("n_with_answer"), "largest_share")

@@ -17,10 +17,45 @@ def test_names():
     assert [s(x) for x in (None, "n/a", "_root", "", "The")] == [None] * 5
 
 
-def test_short_names_need_one_full_name():
-    assert g._resolve(["duputeld willem", "duputeld w."]) == {"duputeld w.": "duputeld willem"}
-    assert g._resolve(["duputeld willem", "duputeld wrenna", "duputeld w."]) == {}
-    assert g._resolve(["duputeld odile", "duputeld w."]) == {}
+def test_short_names_need_one_full_name(spark):
+    resolve = lambda forms: {r["form"]: r["to"] for r in g.resolved(spark.createDataFrame([(f,) for f in forms], "form string")).collect()}
+    assert resolve(["duputeld willem", "duputeld w."]) == {"duputeld w.": "duputeld willem"}
+    assert resolve(["duputeld willem", "duputeld wrenna", "duputeld w."]) == {}
+    assert resolve(["duputeld odile", "duputeld w.", "duputeld", "w. x."]) == {}
+    assert resolve(["ann lee marie", "lee a. m.", "ann lee", "lee an.", "bo lee", "marie a. l."]) == {"lee a. m.": "ann lee marie", "marie a. l.": "ann lee marie"}
+
+
+def test_short_names_equal_brute_force(spark, rng):
+    names = ["ann", "anna", "lee", "leo", "mo", "a.", "l.", "an.", "m."]
+    forms = set()
+    while len(forms) < 120:
+        words = rng.sample(names, rng.choice([2, 2, 3]))
+        long = sorted(w for w in words if not w.endswith("."))
+        if long:
+            forms.add(" ".join([*long, *[w for w in words if w.endswith(".")]]))
+    full = [f for f in forms if not f.endswith(".")]
+    want = {}
+    for f in forms:
+        fit = {x for x in full if g.fits(f, x)} if f.endswith(".") else set()
+        if len(fit) == 1:
+            want[f] = fit.pop()
+    got = {r["form"]: r["to"] for r in g.resolved(spark.createDataFrame([(f,) for f in sorted(forms)], "form string")).collect()}
+    assert got == want
+
+
+def test_tree_of_bins(spark, rng, monkeypatch):
+    rows = [(f"g{i}", rng.choice([1, 2, 3, 40])) for i in range(900)]
+    comps = spark.createDataFrame(rows, "group_id string, w long")
+    plan = {"train": 0.8, "val": 0.1, "test": 0.1}
+    total = sum(w for _, w in rows)
+    for part, gathered in ((10**6, 64), (20, 4)):
+        monkeypatch.setattr(g, "PART", part)
+        monkeypatch.setattr(g, "GATHERED", gathered)
+        got = {r["group_id"]: r["split"] for r in g.spread(comps, plan).collect()}
+        assert len(got) == 900
+        for s, f in plan.items():
+            assert abs(sum(w for i, w in rows if got[i] == s) - f * total) < 0.02 * total
+        assert got == {r["group_id"]: r["split"] for r in g.spread(comps.repartition(7), plan).collect()}
 
 
 def test_groups(spark, folder):

@@ -39,11 +39,42 @@ def test_found(spark, folder, rng):
     d = folder(documents=(docs, "doc_id long, text string"), heldout_items=(items, ITEMS))
     assert sorted(map(tuple, k.p8_found(spark, d).collect())) == [(1, 0), (1, 100), (2, 1), (3, 2), (9, 0), (9, 100), (11, 3)]
     leaks = {(r["doc_id"], r["item_id"]): r for r in k.p8_leaks(spark, d).collect()}
-    assert leaks[(1, 0)]["share"] == 1.0 and leaks[(1, 0)]["has_answer"] and not leaks[(1, 100)]["has_answer"]
+    assert leaks[(1, 0)]["share"] == 1.0 and {r["kind"] for r in leaks.values()} == {"passage"}  # the answer inside the passage is no second leak
     n = {r["item_id"]: r["n_docs"] for r in k.p8_items(spark, d).collect()}
     assert n[0] == 2 and n[101] == 0
 
 
+def test_kinds_of_leaks(spark, rng):
+    p, far = words(rng, 50), " ".join(words(rng, 300))
+    question, answer = "what did the keeper hide beneath the old lantern", "copper letter"
+    noise = " ".join(words(rng, 20))
+    texts = {
+        "passage": " ".join(p), "passage+question": f"{' '.join(p)} {noise} What did the keeper hide, beneath the lantern?", "passage+answer": f"Copper letter. {noise} {' '.join(p)}",
+        "passage+question+answer": f"{question}? {noise} {' '.join(p[:25])} {noise} copper letter {' '.join(p[25:])}",
+    }
+    docs = [(i, t) for i, t in enumerate(texts.values())] + [(9, f"{' '.join(p)} {far} {question} {answer}"), (10, f"{' '.join(p)} letter copper lantern old the beneath hide keeper the did what")]
+    items = spark.createDataFrame([(1, "s", " ".join(p), question, answer)], ITEMS)
+    got = {r["doc_id"]: r["kind"] for r in k.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == dict(enumerate(texts)) | {9: "passage", 10: "passage"}
+
+
+def test_copies_with_changed_words(rng):
+    """Found with a changed word in every sixth or more; two parts of a short passage; not: phrases of five words."""
+    def share(passage, doc):
+        at = {}
+        for j, t in enumerate(k.terms_of(doc)):
+            at.setdefault(t, []).append(j)
+        return k.overlap(passage, doc, at)[0]
+
+    for n in (30, 60, 200):
+        p = words(rng, n)
+        for every in (6, 7, 10):
+            assert share(p, words(rng, 9) + [f"x{i}" if i % every == 5 else w for i, w in enumerate(p)]) >= 0.7, (n, every)
+        assert share(p, words(rng, 50)) == 0 and share(p, words(rng, 9) + p[: int(0.6 * n)]) >= 0.59
+    p = words(rng, 40)
+    assert share(p, p[:9] + words(rng, 20) + p[25:34]) >= 0.44 and share(p, p[:5] + words(rng, 9) + p[20:25] + words(rng, 9) + p[30:35]) == 0
+
+
 def test_blocks_of_items_and_empty_tables(spark, rng, monkeypatch):
     monkeypatch.setattr(k, "ITEM_BLOCK", 2)
     p = [words(rng, 40) for _ in range(5)]
