@@ -48,11 +48,13 @@ _NUMBER = rf"(?:\d{{1,4}}|{_ROMAN})"
 _FOLIO = re.compile(rf"(?:[-–—\[(]\s*)?(?:p(?:age|g)?\.?\s*)?{_NUMBER}(?:\s*(?:/|of)\s*\d{{1,4}})?(?:\s*[-–—\])])?", re.I)
 #: A running head with its page number before or after it.
 _HEAD = re.compile(rf"(?:{_NUMBER}\s*(?:[|·•]|\s{{2,}}|\s)\s*(?P<a>[^\W\d_].*)|(?P<b>.*[^\W\d_.][.\w]*)\s*(?:[|·•]|\s{{2,}}|\s)\s*{_NUMBER})", re.S)
+_NUMBERED = re.compile(r"\d|^\W*[ivxlcdm]{2,}\W*$", re.I)
 _CAPS = re.compile(r"(?:\d{1,4}\s+)?\b[A-ZÀ-ÞŁŚŻ]{2,}(?![^\W\d_])(?:[-'’\s]+(?:[A-ZÀ-ÞŁŚŻ]+(?![^\W\d_])|[a-z]{1,3}(?=\s+[A-Z])))*(?:\s+\d{1,4})?")
 _INLINE = re.compile(r"\[\d{1,4}\]|[—–-] \d{1,4} [—–-](?= )|\bp\. \d{1,4} / \d{1,4}|\bPage \d{1,4}\b(?: of \d+)?|[|·] \d{1,4}(?= )")
 _STRAY = re.compile(r"(?<=[\w,;.!?”\"’»…]) (?:[|¦•·~^°*_\\<>=]|'\.) (?=[\w\"“«‘—–])|^[|¦•·~^°] (?=\w)|(?<=[\w.]) [|¦•·~^°]$")
 _PAGE = re.compile(rf"(?<=[a-zà-ÿ,;]) ({_ROMAN}|[vx]) (?=[a-zà-ÿ])")
 #: What the searches for signs need to find something: a sign or digit, two capitals, a hyphen before a blank.
+_FIGURE, _CAPITALS, _SIGN = re.compile(r"\d"), re.compile(r"[A-ZÀ-ÞŁŚŻ]{2}"), re.compile(r"[|¦•·~^°*_\\<>=]|'\.")
 _MARKED = re.compile(r"[\d|¦•·~^°*_\\<>=¬\xad]|[A-ZÀ-ÞŁŚŻ]{2}|- |'\. ")
 _DIGIT = re.compile(r"(?<=[a-zà-ÿ,;\-¬\xad]) (?:\d{1,3}) (?=[a-zà-ÿ])")
 _UPPER, _LETTER = re.compile(r"[A-ZÀ-ÞŁŚŻ]"), re.compile(r"[^\W\d_]")
@@ -60,6 +62,7 @@ _SMALL = {"a", "an", "and", "the", "of", "for", "in", "on", "to", "at", "by", "f
 _CORE = re.compile(r"^[\"“”‘’«»'(\[—–]*(.*?)[\"“”’«»'.,;:!?…)\]—–]*$", re.S)
 _BREAK = re.compile(r"([^\W\d_]+)([-¬\xad])\s+([^\W\d_]+)")
 _ENDED = re.compile(r"[.!?…:][\"'”’»)\]]*$")
+_SHUT = frozenset([""]) | frozenset(".!?…:\"”’»)]")
 #: A text's last word, and the mark that leaves it open.
 _OPEN = re.compile(r"(?:^|[\s\"“«(\[—–])(?:[^\W\d_]+[-'’])*([^\W\d_]+)([,;]|[-¬\xad])?$")
 #: Costs in nats: a confusion, a merge, a split, a split at a word as frequent as one in a thousand, a drop; a word nothing vouches for and each of its letters.
@@ -282,12 +285,14 @@ class Reader:
         s = line.strip()
         if not s or len(s) > 90:
             return False
-        if _FOLIO.fullmatch(s) or s in ("i", "v", "x"):
+        # a number is among the first or last words of any folio and numbered head
+        words = s.split()
+        numbered = any(map(_NUMBERED.search, words if len(words) < 7 else words[:3] + words[-3:]))
+        if numbered and _FOLIO.fullmatch(s) or s in ("i", "v", "x"):
             return True
-        low = re.sub(r"\W+", " ", s).strip().lower()
-        if low in heads:
+        if heads and re.sub(r"\W+", " ", s).strip().lower() in heads:
             return True
-        m = _HEAD.fullmatch(s)
+        m = _HEAD.fullmatch(s) if numbered else None
         if m and titled(rest := (m.group("a") or m.group("b")).strip()):
             return True
         return not alone and titled(s) and len(s.split()) > 1 and s.isupper()
@@ -325,8 +330,9 @@ class Reader:
             for h in heads:
                 if len(h) > 7 and all(w in low for w in h.split()):
                     out += self.head_edges(body, h)
-        if _MARKED.search(body) or not ROMAN.isdisjoint(words):
-            out += self.sign_edges(body, shouted or is_shouted(text))
+        roman = not ROMAN.isdisjoint(words)
+        if roman or _MARKED.search(body):
+            out += self.sign_edges(body, roman, shouted, text)
         fix = self.fixed.__getitem__
         if any(map(fix, words)):
             at, last = 0, len(words) - 1
@@ -361,24 +367,27 @@ class Reader:
             if titled(re.sub(r"[\d|·]", "", m.group()).strip()) and (m.start() > 0 or m.end() < len(body)):
                 yield m.start(), m.end(), "", DROPPED, "head"
 
-    def sign_edges(self, body: str, shouted: bool) -> Iterator[tuple[int, int, str, float, str]]:
+    def sign_edges(self, body: str, roman: bool, shouted: bool, text: str) -> Iterator[tuple[int, int, str, float, str]]:
         """Page numbers, capitals of running heads, words broken by a line's end, and stray signs."""
-        for pattern in (_INLINE, _DIGIT):
-            for m in pattern.finditer(body):
-                yield m.start(), m.end(), " " if pattern is _DIGIT else "", DROPPED, "head"
-        for m in _PAGE.finditer(body):
+        if _FIGURE.search(body):
+            for pattern in (_INLINE, _DIGIT):
+                for m in pattern.finditer(body):
+                    yield m.start(), m.end(), " " if pattern is _DIGIT else "", DROPPED, "head"
+        for m in _PAGE.finditer(body) if roman else ():
             if self.counts.get(m.group(1), 0) <= self.rare * 10:
                 yield m.start(), m.end(), " ", DROPPED, "head"
-        for m in () if shouted else _CAPS.finditer(body):
+        for m in _CAPS.finditer(body) if not shouted and _CAPITALS.search(body) else ():
             got, words = m.group().strip(), len(m.group().split())
             inside = 0 < m.start() and m.end() < len(body) and body[m.start() - 2 : m.start() - 1].islower() and body[m.end() : m.end() + 2].strip()[:1].islower()
             if words > 2 and re.search(r"\d", got) or words > 3 and inside:
+                if is_shouted(text):
+                    break
                 yield m.start(), m.end(), "", DROPPED, "head"
-        for m in _BREAK.finditer(body):
+        for m in _BREAK.finditer(body) if "- " in body or "¬" in body or "\xad" in body else ():
             if whole := self.broken(*m.groups()):
                 fixed = self.misread(core_of(whole))
                 yield m.start(), m.end(), fixed or whole, 0.0, "hyphen"
-        for m in _STRAY.finditer(body):
+        for m in _STRAY.finditer(body) if _SIGN.search(body) else ():
             yield m.start(), m.end(), " ", DROPPED, "stray"
 
     def decode(self, body: str, damage: set[str], heads: tuple[str, ...] = (), shouted: bool = False, text: str = "") -> tuple[list[str], str, bool]:
@@ -441,7 +450,7 @@ class Reader:
 
     def ending(self, text: str) -> str:
         """How a text's end lies open: empty for closed ones."""
-        if not (m := _OPEN.search(text[-80:])):
+        if text[-1:] in _SHUT or not (m := _OPEN.search(text[-80:])):
             return ""
         if m[2]:
             return "mark" if m[2] in ",;" else "hyphen"
@@ -516,12 +525,20 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
     local = None
     if n <= TITLES:
         local = spark.sparkContext.broadcast({r["book_id"]: tuple(h for h in r["heads"] if h) for r in heads.collect()})  # at most TITLES short rows
-        recs = recs.withColumn("heads", F.lit(None).cast("array<string>"))
     else:
         recs = recs.join(heads, "book_id", "left")
 
     more_words = rest is not None
 
+    def rows_of(b: pa.RecordBatch) -> Iterator[tuple]:
+        """The batch's rows; the columns that this run does without are no part of it and read as null."""
+        columns = dict(zip(b.schema.names, b.columns))
+        nothing = [None] * b.num_rows
+        return zip(*(columns[c].to_pylist() if c in columns else nothing for c in ("key", "rec_table", "book_id", "rec_ord", "kind", "text", "heads", "words", "ns")))
+
+    def columns_of(df: DataFrame, *names: str) -> DataFrame:
+        return df.select(*names, *(c for c in ("heads", "words", "ns") if c in df.columns))
+
     def names_of(book: str, own: list[str] | None) -> tuple[str, ...]:
         return local.value.get(book, ()) if local else tuple(own) if own is not None else ()
 
@@ -530,7 +547,7 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
         read = Reader(known := _Counts(counts), total)
         for b in batches:
             keys, asked = [], []
-            for key, book, kind, text, own, words, ns in zip(*(c.to_pylist() for c in b.columns)):
+            for key, _, book, _, kind, text, own, words, ns in rows_of(b):
                 if kind == "paragraph" and text and text.strip():
                     known.turn(read, words, ns)
                     read.judge(text.strip(), names_of(book, own))
@@ -539,11 +556,10 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
                     asked += of
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(asked, pa.string())], names=["key", "word"])
 
-    recs = recs.withColumns({"words": F.lit(None).cast("array<string>"), "ns": F.lit(None).cast("array<long>")})
     if rest is not None:
         recs = cut_lineage(recs.withColumn("key", F.monotonically_increasing_id()))
         for _ in range(2):
-            asked = recs.select("key", "book_id", "kind", "text", "heads", "words", "ns").mapInArrow(ask, "key long, word string").join(rest, "word")
+            asked = columns_of(recs, "key", "book_id", "kind", "text").mapInArrow(ask, "key long, word string").join(rest, "word")
             more = asked.groupBy("key").agg(F.collect_list(F.struct("word", "n")).alias("x")).select("key", F.col("x.word").alias("words"), F.col("x.n").alias("ns"))
             recs = recs.drop("words", "ns").join(more, "key", "left")
 
@@ -555,7 +571,7 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
         read = Reader(known := _Counts(counts) if more_words else counts, total)
         for b in batches:
             out = []
-            for table, book, rec, kind, text, own, words, ns in zip(*(c.to_pylist() for c in b.columns)):
+            for _, table, book, rec, kind, text, own, words, ns in rows_of(b):
                 s = text.strip() if text else ""
                 if kind != "paragraph" or not s:
                     out.append((table, book, rec, kind, [], None, False, s[:1], "", 0))
@@ -566,7 +582,7 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
                 out.append((table, book, rec, kind, damage, fixed if damage else None, whole, opening(fixed), read.ending(fixed), len(fixed)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], names=names)
 
-    return recs.select("rec_table", "book_id", "rec_ord", "kind", "text", "heads", "words", "ns").mapInArrow(run, schema)
+    return columns_of(recs, "rec_table", "book_id", "rec_ord", "kind", "text").mapInArrow(run, schema)
 
 
 def open_links(rows: DataFrame) -> DataFrame:
