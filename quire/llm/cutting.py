@@ -147,15 +147,20 @@ def oversized(spark: SparkSession, sf_dir: str) -> DataFrame:
     budgets = budget_of(spark, sf_dir, "cut")
     paragraphs, scenes, chunks = (read_table(spark, sf_dir, t) for t in ("paragraphs", "scenes", "chunks"))
     items = spark.createDataFrame([], "item_level string, item_key string, text string")
+    # paragraphs are read and priced once; of their texts only those of oversized ones are kept
+    most = budgets["paragraph"][0] if "paragraph" in budgets else None
+    priced = paragraphs.select("book_id", "paragraph_index", proxy_tokens(F.col("text")).alias("n"), F.col("text").alias("t"))
+    priced = cut_lineage(priced.select("book_id", "paragraph_index", "n", F.when(F.col("n") > most, F.col("t")).alias("text")))
     if "paragraph" in budgets:
-        p = paragraphs.where(proxy_tokens(F.col("text")) > budgets["paragraph"][0]).groupBy("book_id", "paragraph_index").agg(F.max("text").alias("text"))
+        p = priced.where("text is not null").groupBy("book_id", "paragraph_index").agg(F.max("text").alias("text"))
         items = items.unionByName(p.select(F.lit("paragraph").alias("item_level"), _key("book_id", "paragraph_index").alias("item_key"), "text"))
     if "chunk" in budgets:
         c = chunks.where(proxy_tokens(F.col("text")) > budgets["chunk"][0]).groupBy("id").agg(F.max("text").alias("text"))
         items = items.unionByName(c.select(F.lit("chunk").alias("item_level"), F.coalesce("id", F.lit("")).alias("item_key"), "text"))
     if "scene" in budgets:
         keys = ["book_id", "chapter_index", "scene_index"]
-        big = scene_lengths(scenes, paragraphs).where(F.col("n") > budgets["scene"][0]).select(*keys)
+        lengths = priced.groupBy("book_id", "paragraph_index").agg(F.max("n").alias("n"))
+        big = scene_lengths(scenes, lengths).where(F.col("n") > budgets["scene"][0]).select(*keys)
         member = cut_lineage(scene_members(scenes).join(big, keys, "left_semi").select(*keys, "paragraph_index"))
         wanted = member.select("book_id", "paragraph_index").distinct()
         texts = paragraphs.join(small_broadcast(wanted, member.count()), ["book_id", "paragraph_index"]).groupBy("book_id", "paragraph_index").agg(F.max("text").alias("text"))

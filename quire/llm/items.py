@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.tokens import proxy_tokens
-from quire.plans.session import read_table
+from quire.plans.session import cut_lineage, read_table
 
 
 def _key(*cols: str) -> F.Column:
@@ -28,12 +28,11 @@ def scene_members(scenes: DataFrame) -> DataFrame:
     )
 
 
-def scene_lengths(scenes: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """book_id, chapter_index, scene_index, n: sum of the recounted paragraphs, without separators.
+def scene_lengths(scenes: DataFrame, by: DataFrame) -> DataFrame:
+    """book_id, chapter_index, scene_index, n: sum of the recounted paragraphs (by: book_id, paragraph_index, n), without separators.
 
     A paragraph that the paragraphs table lacks counts as declared in the scene, else 0.
     """
-    by = paragraph_lengths(paragraphs)
     return (
         scene_members(scenes)
         .join(by, ["book_id", "paragraph_index"], "left")
@@ -50,8 +49,9 @@ def chunk_lengths(chunks: DataFrame) -> DataFrame:
 def all_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """item_level, item_key, n over paragraphs, scenes and chunks."""
     paragraphs, scenes, chunks = (read_table(spark, sf_dir, t) for t in ("paragraphs", "scenes", "chunks"))
-    p = paragraph_lengths(paragraphs).select(F.lit("paragraph").alias("item_level"), _key("book_id", "paragraph_index").alias("item_key"), "n")
-    s = scene_lengths(scenes, paragraphs).select(F.lit("scene").alias("item_level"), _key("book_id", "chapter_index", "scene_index").alias("item_key"), "n")
+    lengths = cut_lineage(paragraph_lengths(paragraphs))  # priced once for both levels
+    p = lengths.select(F.lit("paragraph").alias("item_level"), _key("book_id", "paragraph_index").alias("item_key"), "n")
+    s = scene_lengths(scenes, lengths).select(F.lit("scene").alias("item_level"), _key("book_id", "chapter_index", "scene_index").alias("item_key"), "n")
     c = chunk_lengths(chunks).select(F.lit("chunk").alias("item_level"), F.coalesce("id", F.lit("")).alias("item_key"), "n")
     return p.unionByName(s).unionByName(c)
 

@@ -49,7 +49,7 @@ def test_edges():
     check("x" * 10_000 + " y", 10, 0)
 
 
-def test_queries(spark, folder):
+def test_queries(spark, folder, monkeypatch):
     budgets = [("cut", "paragraph", 20, 4, 0), ("cut", "scene", 30, 0, 1), ("cut", "chunk", 25, 5, 1), ("pack", "chunk", 1, 0, 0)]
     long, short = "one two three. " * 12, "one two"
     paragraphs = [("b", 0, 0, 0, long, 1, 1), ("b", 0, 0, 0, long, 1, 1), ("b", 0, 0, 1, short, 99, 1), ("b", 0, 0, 2, None, None, None), ("b", 0, 1, 3, short, 1, 1)]
@@ -62,3 +62,5 @@ def test_queries(spark, folder):
     assert sorted({(r["item_level"], r["item_key"]) for r in rows}) == want and all(price(r["text"]) == r["n_tokens"] for r in rows)
     caps = {lv: cap for _, lv, cap, _, _ in budgets[:3]}
     assert all(r["n_tokens"] <= caps[r["item_level"]] and r["n_pieces"] > 1 for r in rows)
+    monkeypatch.setattr(c, "small_broadcast", lambda df, n: df)  # beyond the limit a join fetches the scenes' paragraphs
+    assert sorted(map(tuple, c.p5_pieces(spark, d).collect())) == sorted(map(tuple, rows))
