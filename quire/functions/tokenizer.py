@@ -96,6 +96,8 @@ def _load(path: Path):
 
         sp = sentencepiece.SentencePieceProcessor(model_file=str(path))
         return "pieces", lambda t: sp.encode(t, num_threads=1), sp.bos_id(), sp.eos_id()
+    if (ranked := _ranked_json(path)) is not None:
+        return ranked
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(str(path))
@@ -103,7 +105,29 @@ def _load(path: Path):
     return "tokenizer.json", encode, *_probe(encode)
 
 
-def find_vocabulary(names: tuple[str, ...] = ("tokenizer.json",)) -> Path | None:
+def _ranked_json(path: Path):
+    """What _load gives for a JSON file of ranked byte strings (config, vocab, special_tokens); None for other files.
+
+    Special tokens come first among the ids, so the id of a byte string is its rank behind them.
+    """
+    try:
+        tree = json.loads(path.read_text(encoding="utf-8"))
+    except (UnicodeDecodeError, ValueError):
+        return None
+    if not isinstance(tree, dict) or not {"config", "vocab"} <= set(tree):
+        return None
+    import tiktoken
+
+    config = tree["config"]
+    special = int(config.get("default_num_special_tokens", 0))
+    size = int(config.get("default_vocab_size", len(tree["vocab"]) + special)) - special
+    ranks = {base64.b64decode(v["token_bytes"]): int(v["rank"]) for v in tree["vocab"] if int(v["rank"]) < size}
+    enc = tiktoken.Encoding(path.stem, pat_str=config.get("pattern", RANK_PATTERN), mergeable_ranks=ranks, special_tokens={})
+    named = {t.get("token_str"): int(t["rank"]) for t in tree.get("special_tokens") or []}
+    return "ranked json", lambda t: [i + special for i in enc.encode_ordinary(t)], named.get("<s>", 1 if special > 1 else None), named.get("</s>", 2 if special > 2 else None)
+
+
+def find_vocabulary(names: tuple[str, ...] = ("tokenizer.json", "tekken.json")) -> Path | None:
     """The first vocabulary at the usual places."""
     for variable, below in SEARCH:
         root = os.environ.get(variable)

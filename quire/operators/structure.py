@@ -5,10 +5,15 @@ Order is always an explicit column. Null texts are empty paragraphs and vanish;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quire.functions import pytext
 from quire.functions import text as X
 from quire.operators.running import SEGMENT, running
 
@@ -18,44 +23,28 @@ def text_lines(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     return docs.select(key, F.posexplode(F.split(X.normalise_newlines(F.col(text)), "\n")).alias("line_ord", "line"))
 
 
-def text_blocks(docs: DataFrame, key: str, text: str = "text", aggressive: bool = False, numbered: bool = False, strip_pages: bool = False, has_marks: bool = True) -> DataFrame:
+def text_blocks(docs: DataFrame, key: str, text: str = "text", aggressive: bool = False, numbered: bool = False, strip_pages: bool = False) -> DataFrame:
     """key, block_ord, kind, text, level of plain or Markdown texts.
 
-    A line is a heading, a separator, a blank, prose, or a chapter candidate; a candidate is prose exactly when the
-    last line before it that is no candidate is prose, since then a paragraph is open.
+    A text is one row and its blocks depend on nothing else, so batches are read where they lie: no line is ever
+    shuffled. A null text has no blocks.
     """
-    line = F.col("line")
-    lines = text_lines(docs, key, text)
-    if strip_pages:
-        lines = lines.where(~X.is_page_number(line))
-    blank = X.trim_space(line) == ""
-    numbered_hit = X.is_numbered_break(line) if numbered else F.lit(False)
-    stripped = X.trim_space(line)
-    cls = (
-        F.when(blank, "blank").when(X.markdown_level(line).isNotNull(), "heading").when(X.is_scene_break(line, aggressive) | numbered_hit, "scene_break")
-        .when((F.char_length(stripped) <= 70) & X.is_chapter_line(stripped), "candidate").otherwise("prose")
-    )
-    # a document came as one row, so a window over its lines holds no more than that
-    upto = W.partitionBy(key).orderBy("line_ord").rowsBetween(W.unboundedPreceding, 0)
-    marked = lines.withColumn("cls", cls)
-    opened = F.coalesce(F.last(F.when(F.col("cls") != "candidate", F.col("cls") == "prose"), ignorenulls=True).over(upto), F.lit(False))
-    kind = F.when(F.col("cls") == "candidate", F.when(opened, "prose").otherwise("heading")).otherwise(F.col("cls"))
-    marked = marked.withColumn("kind", kind)
-    # a paragraph starts at prose whose line before is none
-    other = F.max(F.when(F.col("kind") != "prose", F.col("line_ord"))).over(upto)
-    starts = marked.withColumn("run", F.when(F.col("kind") == "prose", F.coalesce(other, F.lit(-1)) + 1).otherwise(F.col("line_ord")))
-    body = starts.where("kind <> 'blank'").groupBy(key, "kind", F.col("run").alias("start")).agg(F.array_sort(F.collect_list(F.struct("line_ord", "line"))).alias("ls"))  # the lines of one paragraph
-    raw = F.array_join(F.transform("ls", lambda x: x["line"]), "\n")
-    joined = F.array_join(F.transform(F.split(X.dehyphenate(raw), "\n"), lambda x: X.trim_space(x)), " ")
-    first = F.col("ls")[0]["line"]
-    paragraph = X.clean_inline(joined, has_marks)
-    heading = X.clean_heading(F.when(X.markdown_level(first).isNotNull(), X.markdown_text(first)).otherwise(first), has_marks)
-    got = body.select(
-        key, "start", F.when(F.col("kind") == "prose", "paragraph").otherwise(F.col("kind")).alias("kind"),
-        F.when(F.col("kind") == "prose", paragraph).when(F.col("kind") == "heading", heading).otherwise(F.lit("")).alias("text"),
-        F.when(F.col("kind") == "heading", F.coalesce(X.markdown_level(first), F.lit(1))).otherwise(0).alias("level"),
-    ).where("kind = 'scene_break' or text <> ''")
-    return got.select(key, (F.row_number().over(W.partitionBy(key).orderBy("start")) - 1).cast("long").alias("block_ord"), "kind", "text", "level")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, blocks = [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                if t is not None:
+                    found = pytext.text_blocks(t, aggressive, numbered, strip_pages)
+                    rows += [i] * len(found)
+                    blocks += [(n, *x) for n, x in enumerate(found)]
+            columns = zip(*blocks) if blocks else ((), (), (), ())
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), *arrays], names=[key, "block_ord", "kind", "text", "level"])
+
+    kept = docs.select(key, text)
+    schema = T.StructType([kept.schema[0], *(T.StructField(n, t) for n, t in (("block_ord", T.LongType()), ("kind", T.StringType()), ("text", T.StringType()), ("level", T.IntegerType())))])
+    return kept.mapInArrow(run, schema)
 
 
 def drop_running_heads(blocks: DataFrame, titles: DataFrame) -> DataFrame:

@@ -25,8 +25,12 @@ def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = SUFFI
     """path, rel, name, suffix, length of the usable files below root. Only the listing is read, no contents."""
     base = root.rstrip("/")
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(base).select("path", "length")
-    where = base.split("://")[-1]
-    rel = F.regexp_replace(F.regexp_replace(F.col("path"), r"^[a-z]+:/*", "/"), "^" + re.escape(re.sub(r"^[a-z]+:/*", "/", base if "://" in base else "file:" + where)) + "/?", "")
+    return usable(listing, base if "://" in base else "file:" + base, suffixes)
+
+
+def usable(listing: DataFrame, base: str, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    """path, rel, name, suffix, length of a listing's files (path, length) below base, hidden, locked and resource files left out."""
+    rel = F.regexp_replace(F.regexp_replace(F.col("path"), r"^[a-z]+:/*", "/"), "^" + re.escape(re.sub(r"^[a-z]+:/*", "/", base)) + "/?", "")
     f = listing.withColumn("rel", rel).withColumn("name", F.element_at(F.split("rel", "/"), -1)).withColumn("suffix", F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)))
     return f.where(F.col("suffix").isin(list(suffixes)) & ~F.col("name").startswith(".") & ~F.col("name").startswith("~$") & ~F.array_contains(F.split("rel", "/"), "__MACOSX"))
 
@@ -54,13 +58,18 @@ def discover_books(files: DataFrame) -> DataFrame:
 
 def load_manifest(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
     """Books as a YAML manifest declares them; missing files raise. The group defaults to the series, then to the id."""
+    with open(path, encoding="utf-8") as f:
+        return manifest_books(spark, f.read(), files)
+
+
+def manifest_books(spark: SparkSession, text: str, files: DataFrame | None = None) -> DataFrame:
+    """The books of a manifest's text."""
     import yaml
 
     try:
-        with open(path, encoding="utf-8") as f:
-            tree = yaml.safe_load(f) or {}
+        tree = yaml.safe_load(text) or {}
     except yaml.YAMLError as e:
-        raise ValueError(f"{path}: {e}") from e
+        raise ValueError(f"manifest: {e}") from e
     entries = (tree.get("books") if isinstance(tree, dict) else None) or []
     if not isinstance(entries, list):
         raise ValueError("books must be a list")
@@ -138,7 +147,11 @@ def read_documents(spark: SparkSession, root: str, rels: DataFrame, **options) -
     if not paths:
         return spark.createDataFrame([], DOC_SCHEMA)
     scan = spark.read.format("binaryFile").load(paths).select("path", "content")
-    rows = scan.join(rels.select("path", "rel"), "path")
+    return extracted(scan.join(rels.select("path", "rel"), "path"), **options)
+
+
+def extracted(rows: DataFrame, **options) -> DataFrame:
+    """rel, doc_ord, n_docs, meta, blocks, error of files (rel, content)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

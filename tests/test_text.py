@@ -89,3 +89,25 @@ def test_tokenizer(tmp_path, monkeypatch):
         if p.exists():
             t = load_tokenizer(str(p))
             assert t.info.exact and len(t.info.sha256) == 64 and t.count("hello world") == len(t.encode("hello world")) > 0
+
+
+def test_ornaments_are_as_many_as_the_rule_names():
+    assert len(set(X.ORNAMENTS)) == len(X.ORNAMENTS) == 141 and len(set(X.STRONG)) == len(X.STRONG) == 51
+    assert "\u274f" not in X.ORNAMENTS and set("*•") & set(X.STRONG) == set() and set("~†‡§¶⁂") <= set(X.STRONG)
+
+
+def test_ranked_json_vocabulary(tmp_path):
+    import base64
+    import json
+
+    from quire.functions.tokenizer import load_tokenizer
+
+    tokens = [bytes([i]) for i in range(256)] + [b"ab", b"abc", b"beyond"]
+    tree = {
+        "config": {"pattern": r"\S+|\s+", "default_vocab_size": 268, "default_num_special_tokens": 10}, "special_tokens": [{"rank": 1, "token_str": "<s>"}, {"rank": 2, "token_str": "</s>"}],
+        "vocab": [{"rank": i, "token_bytes": base64.b64encode(t).decode()} for i, t in enumerate(tokens)],
+    }
+    f = tmp_path / "tekken.json"
+    f.write_text(json.dumps(tree))
+    c = load_tokenizer(str(f))
+    assert c.encode("abcd ab") == [257 + 10, ord("d") + 10, ord(" ") + 10, 256 + 10] and c.count("abcd ab") == 4 and (c.info.bos_id, c.info.eos_id, c.info.exact) == (1, 2, True)
