@@ -5,8 +5,14 @@ The expected rows are worked out by hand from the rules and stand here as VALUES
 
 from __future__ import annotations
 
+import base64
+import contextlib
+import io
+import shutil
 import uuid
 from collections.abc import Callable
+from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +20,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as X
 from quire.functions.tokens import proxy_tokens
 from quire.operators import packing, splits, stats, structure
-from quire.plans.session import read_table, shared_dir
+from quire.plans.session import cut_lineage, read_table, shared_dir
 from quire.sources import demo, sinks
 from quire.sources import files as sources
 
@@ -330,6 +336,50 @@ def planted_merged(spark: SparkSession, d: str) -> DataFrame:
     return _chunk_columns(_pack_books(spark, packing.PackConfig(max_seq_len=22, min_tokens=10))[0]).where("id like 'exact%' or id like 'whole%' or id like 'cut%'").select("id", "text", "n_tokens", "order_in_book", "flags")
 
 
+# A whole build ----------------------------------------------------------------
+LIBRARY = {
+    "s/one.txt": f"Chapter One\n\n{_w(4, 'a')}\n\n{_w(4, 'b')}\n\n* * *\n\n{_w(6, 'c')}".encode(), "s/two.md": f"# T\n\n{_w(20, 'x')}\n\nd d".encode(), "out/x.txt": b"words", "bad.mobi": b"\0" * 90, "empty.txt": b"# Only",
+}
+
+
+def planted_build(spark: SparkSession, d: str) -> DataFrame:
+    """Figures of a build of five files, of the files it writes, and exit codes of the command line."""
+    from quire import cli
+    from quire.plans.build import BuildConfig, run_build, write_outputs
+
+    root = Path(urlparse(_folder(spark)).path)
+    try:
+        for name, content in LIBRARY.items():
+            (root / "raw" / name).parent.mkdir(parents=True, exist_ok=True)
+            (root / "raw" / name).write_bytes(content)
+        (root / "recipe.yaml").write_text("budget: [1")
+        cfg = BuildConfig(raw_root=str(root / "raw"), out_root=str(root / "out"), max_seq_len=22, exclude_patterns=("out*",), split_by="none")
+        result = run_build(spark, cfg)
+        out = write_outputs(cfg, result)
+        lines = {f"{n}_lines": len((out / f"{n}.jsonl").read_text().splitlines()) for n in ("chunks", "train", "val", "oversize_blocks")}
+        st = result.stats
+        figures = {
+            **{k: st["corpus"][k] for k in ("books_included", "books_excluded", "books_total", "chapters", "scenes", "paragraphs", "words")},
+            **{k: st["dataset"][k] for k in ("chunks", "content_tokens", "boundary_tokens", "training_tokens_including_boundaries", "train_chunks", "val_chunks", "budget_utilisation")},
+            **{k: st["boundaries"][k] for k in ("chunks_opening_a_chapter", "chunks_ending_on_a_scene", "chunks_resuming_a_scene", "pct_ending_on_a_scene")},
+            **{k: st["oversize"][k] for k in ("records", "excluded_tokens", "excluded_fraction", "review_required", "stop")}, "errors": len(st["errors"]), "books_in_provenance": len(st["provenance"]["books"]), **lines,
+        }
+        base = ["--raw-root", cfg.raw_root, "--out-root", str(root / "cli"), "--max-seq-len", "22", "--exclude", "out*"]
+        with contextlib.redirect_stdout(io.StringIO()), contextlib.redirect_stderr(io.StringIO()):
+            codes = {"exit_gate": cli.main(base), "exit_dry_run": cli.main([*base, "--dry-run"]), "exit_recipe": cli.main([*base, "--config", str(root / "recipe.yaml")]), "exit_no_root": cli.main(["--raw-root", str(root / "nowhere")])}
+        return spark.createDataFrame([(k, float(v)) for k, v in {**figures, **codes}.items()], "name string, value double")
+    finally:
+        shutil.rmtree(root, ignore_errors=True)
+
+
+BUILD_ROWS = [
+    ("books_included", 2.0), ("books_excluded", 1.0), ("books_total", 3.0), ("chapters", 2.0), ("scenes", 3.0), ("paragraphs", 5.0), ("words", 36.0), ("chunks", 2.0), ("content_tokens", 23.0), ("boundary_tokens", 4.0),
+    ("training_tokens_including_boundaries", 27.0), ("train_chunks", 2.0), ("val_chunks", 0.0), ("budget_utilisation", 0.575), ("chunks_opening_a_chapter", 2.0), ("chunks_ending_on_a_scene", 2.0), ("chunks_resuming_a_scene", 0.0),
+    ("pct_ending_on_a_scene", 100.0), ("records", 2.0), ("excluded_tokens", 26.0), ("excluded_fraction", 0.530612), ("review_required", 1.0), ("stop", 1.0), ("errors", 2.0), ("books_in_provenance", 2.0), ("chunks_lines", 2.0), ("train_lines", 2.0),
+    ("val_lines", 0.0), ("oversize_blocks_lines", 2.0), ("exit_gate", 3.0), ("exit_dry_run", 0.0), ("exit_recipe", 2.0), ("exit_no_root", 2.0),
+]
+
+
 # Sinks -----------------------------------------------------------------------
 def _folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/sink-{uuid.uuid4().hex}"
@@ -351,6 +401,42 @@ def sink_dataset(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(to).groupBy("split").agg(F.count("*").alias("n_chunks"), F.sum("n_tokens").alias("n_tokens"), F.countDistinct("book_id").alias("n_books"))
 
 
+#: A vocabulary of single letters and two words, written where the stream is packed.
+def _vocabulary(folder: Path) -> str:
+    tokens = [bytes([i]) for i in range(256)] + [b"to", b"be", b" to", b" be"]
+    path = folder / "letters.tiktoken"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + b" " + str(i).encode() for i, t in enumerate(tokens)))
+    return str(path)
+
+
+def _stream(spark: SparkSession, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    folder = Path(urlparse(_folder(spark)).path)
+    folder.mkdir(parents=True)
+    try:
+        chunks = spark.createDataFrame([("b::0", "b", 0, "to be", "train"), ("a::1", "a", 1, "to", "train"), ("a::0", "a", 0, "be x", "train")], "id string, book_id string, order_in_book int, text string, split string")
+        return cut_lineage(of(sinks.pack_stream(chunks, _vocabulary(folder), 300, 301, 8)))
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+
+
+def planted_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Token sequences with boundary tokens in the order of book and chunk, and where they lie in one stream."""
+    return _stream(spark, lambda s: s.select("id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end_at"), F.col("seq_len").cast("long").alias("seq_len"), F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids")))
+
+
+STREAM_ROWS = [("a::0", 0, 5, 5, "300,257,32,120,301"), ("a::1", 5, 8, 3, "300,256,301"), ("b::0", 8, 12, 4, "300,256,259,301")]
+
+
+def planted_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Padded length, real tokens and labels of a batch."""
+    batch = _stream(spark, lambda s: sinks.collate(s.select("id", "ids").withColumn("batch", F.lit(0)), "batch"))
+    real = F.size(F.filter("labels", lambda x: x != -100))
+    return batch.groupBy("batch").agg(F.count("*").alias("n"), F.max(F.size("input_ids")).alias("padded"), F.sum(F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x.cast("int"))).alias("n_real"), F.sum(real).alias("n_labels"))
+
+
+BATCH_ROWS = [(0, 3, 8, 12, 12)]
+
+
 def excluded_share(spark: SparkSession, d: str) -> DataFrame:
     """Tokens of paragraphs dearer than 512 and their share of all."""
     p = read_table(spark, d, "paragraphs").groupBy("book_id", "paragraph_index").agg(F.max(proxy_tokens(F.col("text"))).alias("n_tokens"))
@@ -399,7 +485,8 @@ EXPECTED: dict[str, tuple[str, list[tuple]]] = {
     "planted_unpacked": ("name, bytes", UNPACKED_ROWS), "planted_trailing": ("name, bytes", TRAILED_ROWS), "planted_errors": ("rel, n_docs int, error", ERROR_ROWS), "planted_listing": ("book_id, title, series, group_key, order_hint int, source", LISTING_ROWS),
     "planted_manifest": ("book_id, title, series, group_key, order_hint int, sources", MANIFEST_ROWS), "planted_books": ("book_id, title, order_hint int, sources, text", BOOK_ROWS), "planted_book_errors": ("book_id, error, sources", BOOK_ERROR_ROWS),
     "planted_pack": (_CHUNK, CHUNK_ROWS), "planted_ledger": ("book_id, kind, scene int, paragraph int, n_tokens int, budget int, action, n_paragraphs int, chunk_ids, source", LEDGER_ROWS), "planted_ledger_kinds": ("kind, n bigint, n_tokens bigint, actions", LEDGER_KIND_ROWS),
-    "planted_excluded": ("id, text, order_in_book int", [("cut::00000", "d d", 0)]), "planted_merged": ("id, text, n_tokens int, order_in_book int, flags", MERGED_ROWS), "labels": ("label, cleaned, skipped boolean", LABEL_ROWS),
+    "planted_excluded": ("id, text, order_in_book int", [("cut::00000", "d d", 0)]), "planted_merged": ("id, text, n_tokens int, order_in_book int, flags", MERGED_ROWS), "labels": ("label, cleaned, skipped boolean", LABEL_ROWS), "planted_build": ("name, value double", BUILD_ROWS), "planted_stream": ("id, start bigint, end_at bigint, seq_len bigint, ids", STREAM_ROWS),
+    "planted_batches": ("batch int, n bigint, padded int, n_real bigint, n_labels bigint", BATCH_ROWS),
 }
 
 
