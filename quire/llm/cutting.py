@@ -178,3 +178,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of every oversized item, with their texts."""
     return cut_items(oversized(spark, sf_dir), budget_of(spark, sf_dir, "cut"))
+
+
+def p5_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the pieces of each oversized item begin and end, and how many of them are over the capacity."""
+    budgets = budget_of(spark, sf_dir, "cut")
+    limits = spark.createDataFrame([(k, c) for k, (c, _, _) in budgets.items()], "item_level string, capacity int")
+    rows = p5_pieces(spark, sf_dir).join(F.broadcast(limits), "item_level")  # a fixed table of a few rows
+    return rows.groupBy("item_level", "item_key").agg(F.min("char_start").alias("first_char"), F.max("char_end").alias("end_char"), F.count_if(F.col("n_tokens") > F.col("capacity")).alias("n_over"))

@@ -242,3 +242,8 @@ def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks, books and groups of each split."""
     return assign_splits(spark, sf_dir).groupBy("split").agg(F.count("*").alias("n_chunks"), F.countDistinct("book_id").alias("n_books"), F.countDistinct("group_id").alias("n_groups"))
+
+
+def p6_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of each book, and the splits they got: one."""
+    return assign_splits(spark, sf_dir).where("book_id is not null").groupBy("book_id").agg(F.countDistinct("id").alias("n_chunks"), F.countDistinct("split").alias("n_splits"))

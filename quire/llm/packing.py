@@ -291,3 +291,15 @@ def p3_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.round(F.sum("cost") / (F.count("*") * F.first("capacity")), 4).alias("filled"),
         )
     )
+
+
+def p3_conserved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items, pieces and tokens of each level after packing, containers over the capacity, and items whose pieces leave a gap."""
+    budgets = budget_of(spark, sf_dir, "pack")
+    limits = spark.createDataFrame([(k, c, s) for k, (c, _, s) in budgets.items()], "item_level string, capacity int, sep int")
+    placed = cut_lineage(p3_assignments(spark, sf_dir))
+    over = placed.groupBy("item_level", "container_id").agg(F.count("*").alias("k"), F.sum("n_tokens").alias("t")).join(F.broadcast(limits), "item_level")
+    over = over.groupBy("item_level").agg(F.count_if(F.col("t") + F.col("sep") * (F.col("k") - 1) > F.col("capacity")).alias("n_over"))
+    per = placed.groupBy("item_level", "item_key").agg(F.count("*").alias("k"), F.sum("n_tokens").cast("long").alias("t"), F.max(F.col("token_start") + F.col("n_tokens")).alias("end"), F.countDistinct("token_start").alias("starts"))
+    sums = per.groupBy("item_level").agg(F.count("*").alias("n_items"), F.sum("k").alias("n_pieces"), F.sum("t").alias("n_tokens"), F.count_if((F.col("t") != F.col("end")) | (F.col("starts") != F.col("k"))).alias("n_gaps"))
+    return sums.join(over, "item_level")

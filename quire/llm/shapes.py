@@ -108,14 +108,14 @@ class Units:
         code = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         known = np.minimum(code, _TABLE - 1)
         flag = np.where(code < _TABLE, flags_of[known], np.uint16(ALNUM))
-        page = np.repeat(np.arange(len(texts)), sizes)
+        page = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
         flag, link_at = self._without_links(texts, sizes, flag)
         has = lambda f: flag & f != 0
         # units begin at line ends and at white space behind a closing mark
         ended = has(END)
         for _ in range(3):
             ended = ended | has(CLOSE) & _before(ended)
-        unit = np.cumsum(has(LINE) | has(SPACE) & _before(ended))
+        unit = np.cumsum(has(LINE) | has(SPACE) & _before(ended), dtype=np.int32)
         n_units = int(unit[-1]) + 1
         count = lambda mask: np.bincount(unit[mask], minlength=n_units)
         self.page = np.zeros(n_units, np.int64)
@@ -147,7 +147,7 @@ class Units:
         self.ends = ended[last]
         # items between separators that white space follows, and bars and dots between blanks
         item_end = has(SEP) & _after(has(SPACE))
-        item = np.cumsum(item_end | np.concatenate([[False], unit[1:] != unit[:-1]]))
+        item = np.cumsum(item_end | np.concatenate([[False], unit[1:] != unit[:-1]]), dtype=np.int32)
         self._items(item[start], unit[start], word, n_units)
         self._keywords(page[start], unit[start], word, len(texts), n_units)
 
