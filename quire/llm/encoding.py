@@ -13,13 +13,15 @@ from __future__ import annotations
 
 import atexit
 import base64
+import hashlib
 import os
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 from pathlib import Path
+from typing import ClassVar
 from urllib.parse import urlparse
 
 import numpy as np
@@ -56,6 +58,16 @@ class Encoder:
         self.lexicon, self.ranks = lexicon, ranks
         self.memory: dict[str, list[int]] = {}
 
+    _runs: ClassVar[dict[str, Encoder]] = {}
+
+    @classmethod
+    def of_run(cls, key: str, lexicon: Callable[[], Lexicon], ranks: dict[bytes, int]) -> Encoder:
+        """The encoder of the run at hand: a worker keeps its memory from task to task."""
+        if key not in cls._runs:
+            cls._runs.clear()
+            cls._runs[key] = cls(lexicon(), ranks)
+        return cls._runs[key]
+
     def unit(self, text: str) -> list[int]:
         ids: list[int] = []
         for w in self.words(text):
@@ -121,9 +133,6 @@ def build_lexicon(texts: DataFrame, ranks: dict[bytes, int], size: int = LEXICON
     return compile_lexicon((w.encode(), tuple(merge_word(w.encode(), ranks))) for w in top)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encode_documents(docs: DataFrame, text: str = "text", folder: str = TOKENIZERS, name: str = "byte_bpe_50k", size: int = LEXICON) -> DataFrame:
     """The columns of docs but the text, and ids."""
     spark = docs.sparkSession
@@ -142,10 +151,7 @@ def encode_documents(docs: DataFrame, text: str = "text", folder: str = TOKENIZE
     others = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[key] = Encoder(Lexicon(held.value if held else np.memmap(path, dtype=np.int32, mode="r")), vocabulary.value)
-        encode = _ENCODERS[key].encode
+        encode = Encoder.of_run(key, lambda: Lexicon(held.value if held else np.memmap(path, dtype=np.int32, mode="r")), vocabulary.value).encode
         for b in batches:
             lists = [encode(t) for t in b.column(len(others)).to_pylist()]
             at = np.zeros(len(lists) + 1, dtype=np.int32)
@@ -161,3 +167,20 @@ def encode_documents(docs: DataFrame, text: str = "text", folder: str = TOKENIZE
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, ids of every document."""
     return encode_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def p7_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and the digest of what its ids decode to, which is that of its text."""
+    ranks = read_ranks()
+    table: list[bytes] = [b""] * (max(ranks.values()) + 1)
+    for word, i in ranks.items():
+        table[i] = word
+    held = spark.sparkContext.broadcast(table)  # the vocabulary's own size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word = held.value.__getitem__
+        for b in batches:
+            digests = [hashlib.md5(b"".join(map(word, ids))).hexdigest() for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.string())], names=["doc_id", "digest"])
+
+    return p7_ids(spark, sf_dir).mapInArrow(run, "doc_id long, digest string")

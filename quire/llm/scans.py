@@ -21,9 +21,11 @@ letters, where wrong decoding looks like letters.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from math import log
+from typing import ClassVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -152,6 +154,7 @@ class _Counts:
         self.own, self.missed = dict(zip(words, map(int, ns))) if words is not None else {}, set()
         reader.known.clear()
         reader.fixed.clear()
+        reader.cuts.clear()
 
 
 class Reader:
@@ -165,6 +168,16 @@ class Reader:
         self.rare = max(3.0, RARE * self.total)
         self.floor = log(self.total + 1)
 
+    _runs: ClassVar[dict[str, Reader]] = {}
+
+    @classmethod
+    def of_run(cls, run_id: str, counts: dict[str, int], total: int, more_words: bool) -> Reader:
+        """The reader of the run at hand: a worker keeps what it has resolved from task to task."""
+        if run_id not in cls._runs:
+            cls._runs.clear()
+            cls._runs[run_id] = cls(_Counts(counts) if more_words else counts, total)
+        return cls._runs[run_id]
+
     # words
 
     def price(self, core: str) -> float:
@@ -519,7 +532,7 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
     """
     spark = recs.sparkSession
     heads = book_heads(books)
-    held = spark.sparkContext.broadcast((reader.counts, reader.total))
+    held, run_id = spark.sparkContext.broadcast((reader.counts, reader.total)), uuid.uuid4().hex
     n = heads.count()
     schema = "rec_table string, book_id string, rec_ord long, kind string, damage array<string>, repaired string, furniture boolean, head string, tail string, size int"
     local = None
@@ -567,8 +580,7 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
     names = ["rec_table", "book_id", "rec_ord", "kind", "damage", "repaired", "furniture", "head", "tail", "size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total = held.value
-        read = Reader(known := _Counts(counts) if more_words else counts, total)
+        read = Reader.of_run(run_id, *held.value, more_words)
         for b in batches:
             out = []
             for _, table, book, rec, kind, text, own, words, ns in rows_of(b):
@@ -577,7 +589,7 @@ def judged(recs: DataFrame, books: DataFrame, reader: Reader, rest: DataFrame |
                     out.append((table, book, rec, kind, [], None, False, s[:1], "", 0))
                     continue
                 if more_words:
-                    known.turn(read, words, ns)
+                    read.counts.turn(read, words, ns)
                 damage, fixed, whole = read.judge(s, names_of(book, own))
                 out.append((table, book, rec, kind, damage, fixed if damage else None, whole, opening(fixed), read.ending(fixed), len(fixed)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], names=names)
