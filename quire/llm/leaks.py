@@ -141,20 +141,20 @@ def stretches(passage: list[str], words: list[str], at: dict[tuple[str, ...], li
 
 
 def _reach(passage: list[str], words: list[str], d: int, at: int, stop: int, step: int) -> int:
-    """Where a run that holds up to `at` ends in one direction: behind its best-scoring extension."""
-    best, score, high, changed = at, 0, 0, False
+    """Where a run that holds up to `at` ends in one direction: behind its best-scoring extension, or at the edge when one change lies between and two words or more behind it match."""
+    best, score, high, changed, since, changes = at, 0, 0, False, 0, 0
     while at != stop:
         if passage[at] == words[at + d]:
-            score, changed = score + 1, False
+            score, changed, since = score + 1, False, since + 1
             if score > high:
-                high, best = score, at + step
+                high, best, changes = score, at + step, 0
         else:
             score -= CHANGED
             if changed or score < high - 2 * CHANGED:
                 break
-            changed = True
+            changed, since, changes = True, 0, changes + 1
         at += step
-    return best
+    return at if at == stop and since > 1 and changes == 1 else best
 
 
 def overlap(passage: list[str], words: list[str], at: dict[tuple[str, ...], list[int]]) -> tuple[float, list[tuple[int, int]]]:
