@@ -5,9 +5,10 @@ A smoothed character trigram model is trained on the clean words of all blocks,
 restores, or whose restored form stands in more books than they do, are left out of the training.
 Every suspicious word is then decoded again along each chain "encode as W, decode as T", repeatedly where it was
 garbled twice, with lost bytes filled in by the likeliest way through the model; the likeliest form is accepted when
-it beats the word as it stands by a margin. The margin is validated on the driver, on clean words of the books that
-one in HELD hashes kept out of a trial model: at most one of them, or two in a thousand, may be changed. The share of
-them that is recovered after synthetic garbling is kept with the model, which then learns those books too.
+it beats the word as it stands by a margin. The margin is validated on every book: the books are hashed into HELD parts, each in turn is kept out of a
+trial model, and all clean words of its books are judged by that model, rare ones apart, which may be garbled
+themselves, each counted once a book; at most one of them, or two in a thousand, may be changed. The share of them that is recovered after
+synthetic garbling is kept with the model, which has learnt all books.
 
 Defined results: null, empty and ASCII texts are clean; replacement characters and control characters of the
 C1 range are always wrongly decoded, restored where the model can tell, else marked so; repeated rows give one.
@@ -32,8 +33,10 @@ from pyspark.sql import functions as F
 
 from quire.plans.session import cut_lineage, read_table
 
-#: Slots of the hashed tables; smallest margin in nats; words of held-out books the margin is validated on, one in how many books is held out; repetitions of a chain; letters of a piece of an endless word.
-SLOTS, MARGIN, SAMPLE, HELD, DEPTH, PIECE = 1 << 20, 4.0, 500, 5, 3, 100
+#: Slots of the hashed tables; smallest margin in nats; parts of the books that are held out in turn; repetitions of a chain; letters of a piece of an endless word.
+SLOTS, MARGIN, HELD, DEPTH, PIECE = 1 << 20, 4.0, 5, 3, 100
+#: Share of the books of the most frequent word from which a word is too frequent to be garbled itself.
+FREQUENT = 0.05
 #: Code pages a text may have been read with, and written in.
 READ_AS = ("cp1252", "latin-1", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "iso8859-2", "cp1254", "cp1257", "koi8-r", "cp866", "cp852")
 WRITTEN_IN = ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "iso8859-2", "koi8-r", "cp866", "cp1253", "cp852")
@@ -363,22 +366,27 @@ class CharModel:
             word = max((word[:i] + c + word[i + 1 :] for c in _LETTERS), key=lambda w: self.score(w.replace("�", "")) - (4.0 if inside and w[i] in EDGE else 0.0))
         return word
 
-    def validate(self, clean: list[str]) -> None:
-        """Raise the margin above the gain of all clean words but one, or two in a thousand; measure what it recovers of garbled ones."""
-        gains = [self.best(w)[0] for w in clean]
-        top = sorted(gains)[max(0, len(gains) - 1 - max(1, len(gains) // 500))] if gains else 0.0
+    def trial(self, word: str, k: int) -> tuple[float, float | None]:
+        """(gain of a clean word, gain of its k-th garbling), below 0 where that does not lead back to it, None where it can't be garbled so."""
+        try:
+            bad = word.encode("utf-8").decode(("cp1252", "latin-1", "mac_roman", "cp437")[k % 4])
+        except UnicodeError:
+            return self.best(word)[0], None
+        gain, _, form = self.best(bad)
+        return self.best(word)[0], gain if form == word else -1.0
+
+    def validate(self, clean: Counter, garbled: Counter) -> None:
+        """Raise the margin above the gains of all clean words but the first, or two in a thousand; measure what it recovers of garbled ones.
+
+        Both count words by their gain, once a book, the garbled ones that do not lead back below 0.
+        """
+        left, top = max(clean[max(clean, default=0.0)], clean.total() // 500), 0.0
+        for top in sorted(clean, reverse=True):
+            left -= clean[top]
+            if left < 0:
+                break
         self.margin = max(MARGIN, top + 0.5)
-        tried = hit = 0
-        for k, w in enumerate(clean):
-            w_as, t = ("cp1252", "latin-1", "mac_roman", "cp437")[k % 4], "utf-8"
-            try:
-                bad = w.encode(t).decode(w_as)
-            except UnicodeError:
-                continue
-            tried += 1
-            gain, _, form = self.best(bad)
-            hit += gain > self.margin and form == w
-        self.recovered = hit / tried if tried else 1.0
+        self.recovered = sum(n for gain, n in garbled.items() if gain > self.margin) / garbled.total() if garbled else 1.0
 
 
 _LETTERS = "éèêàâùûôîïëçñáíóúãõäöüßåøœæ“”’‘…—–«»ąćęłńśźżÉÀÈÁÓÚÑÄÖÜØÅ"
@@ -392,7 +400,7 @@ def suspicious(text: str) -> list[str]:
 
 
 def word_table(blocks: DataFrame) -> DataFrame:
-    """word, n, n_held, marked: books that hold a non-ASCII word, and those of them that are held out; for ASCII words the logarithm of their occurrences."""
+    """word, n, held, marked: books that hold a non-ASCII word, and those of them in each part; for ASCII words the logarithm of their occurrences, in no part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain: Counter = Counter()
@@ -418,13 +426,51 @@ def word_table(blocks: DataFrame) -> DataFrame:
 
     rows = blocks.select("book_id", "text").where("text is not null").mapInArrow(run, "book string, word string, n long")
     once = rows.groupBy("book", "word").agg(F.sum("n").alias("n"))
-    held = F.count_if((F.pmod(F.xxhash64("book"), F.lit(HELD)) == 0) & (F.col("book") != "")).cast("double")
-    per = once.groupBy("word").agg(F.sum("n").alias("k"), F.count("*").cast("double").alias("books"), held.alias("n_held"))
-    return per.select("word", F.when(F.col("k") > 0, F.log2(F.col("k") + 1.0)).otherwise(F.col("books")).alias("n"), F.when(F.col("k") > 0, 0.0).otherwise(F.col("n_held")).alias("n_held"), (F.col("k") == 0).alias("marked"))
+    part = F.when(F.col("book") != "", F.pmod(F.xxhash64("book"), F.lit(HELD)))
+    held = F.array(*[F.count_if(part == k).cast("double") for k in range(HELD)])
+    per = once.groupBy("word").agg(F.sum("n").alias("k"), F.count("*").cast("double").alias("books"), held.alias("held"))
+    return per.select("word", F.when(F.col("k") > 0, F.log2(F.col("k") + 1.0)).otherwise(F.col("books")).alias("n"), "held", (F.col("k") == 0).alias("marked"))
+
+
+def tables(words: DataFrame) -> np.ndarray:
+    """The four tables of words that count n each; at most 4 x SLOTS rows reach the driver."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = np.zeros((4, SLOTS))
+        for b in batches:
+            for w, n in zip(b["word"], b["n"]):
+                for slots in _slots(w):
+                    for k in range(4):
+                        acc[k, slots[k]] += n
+        k, s = np.nonzero(acc)
+        yield pd.DataFrame({"k": k.astype(np.int32), "slot": s.astype(np.int32), "n": acc[k, s]})
+
+    counted = words.mapInPandas(run, "k int, slot int, n double").groupBy("k", "slot").agg(F.sum("n").alias("n")).toPandas()
+    acc = np.zeros((4, SLOTS))
+    acc[counted["k"], counted["slot"]] = counted["n"]
+    return acc
+
+
+def gains(words: DataFrame, model: CharModel) -> tuple[Counter, Counter]:
+    """How many words have which gain, in hundredths upwards, as they stand and garbled, each counted n times; one row a gain reaches the driver."""
+    held = words.sparkSession.sparkContext.broadcast(model)  # fixed size
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for w, k, n in zip(b["word"], b["k"], b["n"]):
+                clean, garbled = held.value.trial(w, k)
+                out += [(True, clean, n)] + [(False, garbled, n)] * (garbled is not None)
+            yield pd.DataFrame(out, columns=["clean", "gain", "n"]).astype({"clean": bool, "gain": float, "n": int})
+
+    rows = words.select("word", "n", F.pmod(F.xxhash64("word"), F.lit(4)).cast("int").alias("k")).mapInPandas(run, "clean boolean, gain double, n long")
+    counted = rows.groupBy("clean", F.ceil(F.col("gain") * 100).alias("gain")).agg(F.sum("n").alias("n")).collect()
+    held.unpersist()
+    return tuple(Counter({r["gain"] / 100: r["n"] for r in counted if r["clean"] == clean}) for clean in (True, False))
 
 
 def train(blocks: DataFrame) -> CharModel:
-    """The model of the blocks' clean words. Of the corpus only tables of SLOTS numbers and SAMPLE words reach the driver."""
+    """The model of the blocks' clean words. Of the corpus only tables of SLOTS numbers and counts of gains reach the driver."""
     words = cut_lineage(word_table(blocks))
 
     def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -453,29 +499,19 @@ def train(blocks: DataFrame) -> CharModel:
     alt = marked.mapInPandas(forms, "word string, form string, sure boolean")
     known = marked.select(F.col("word").alias("form"), F.col("n").alias("of"))
     worse = alt.where("not sure").join(known, "form").join(marked, "word").where("of > 3 * n").select("word").unionByName(alt.where("sure").select("word")).distinct()
-    clean = words.join(worse, "word", "left_anti")
-
-    def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc = np.zeros((8, SLOTS))  # the four tables of the books that are trained on, and those of the held-out ones
-        for b in batches:
-            for w, n, out in zip(b["word"], b["n"], b["n_held"]):
-                for slots in _slots(w):
-                    for k in range(4):
-                        acc[k, slots[k]] += n - out
-                        if out:
-                            acc[k + 4, slots[k]] += out
-        k, s = np.nonzero(acc)
-        yield pd.DataFrame({"k": k.astype(np.int32), "slot": s.astype(np.int32), "n": acc[k, s]})
-
-    counted = clean.select("word", "n", "n_held").mapInPandas(tables, "k int, slot int, n double").groupBy("k", "slot").agg(F.sum("n").alias("n")).toPandas()  # at most 8 x SLOTS rows
-    acc = np.zeros((8, SLOTS), dtype=np.float32)
-    acc[counted["k"], counted["slot"]] = counted["n"]
-    trial, model = CharModel(*acc[:4]), CharModel(*(acc[:4] + acc[4:]))
-    # SAMPLE words of the held-out books, those that most of them hold: rare ones may be garbled themselves
-    frequent = clean.where("n_held > 0").orderBy(F.desc("n_held"), "word").limit(SAMPLE).toPandas()
-    if len(frequent):
-        trial.validate(frequent["word"][frequent["n"] >= frequent["n"].max() * 0.05].tolist())
-        model.margin, model.recovered = trial.margin, trial.recovered
+    clean = cut_lineage(words.where("marked").join(worse, "word", "left_anti"))
+    every = tables(clean.select("word", "n").unionByName(words.where("not marked").select("word", "n")))
+    model = CharModel(*every.astype(np.float32))
+    most = clean.where(F.exists("held", lambda n: n > 0)).agg(F.max("n")).first()[0]
+    if most:
+        as_is, garbled = Counter(), Counter()
+        for k in range(HELD):
+            part = clean.select("word", F.col("held")[k].alias("n"), F.col("n").alias("of")).where("n > 0")
+            # the logarithms of ASCII words leave rests of rounding
+            trial = CharModel(*np.round(every - tables(part.select("word", "n")), 6).astype(np.float32))
+            for total, found in zip((as_is, garbled), gains(part.where(F.col("of") >= FREQUENT * most), trial)):
+                total.update(found)
+        model.validate(as_is, garbled)
     return model
 
 

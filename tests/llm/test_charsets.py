@@ -80,3 +80,22 @@ def test_endless_words_are_cut_between_characters():
 def test_garbled_words_are_recovered(blocks):
     model = c.train(blocks)
     assert model.recovered >= 0.6 and model.margin >= c.MARGIN
+
+
+def test_margin_regards_the_books_of_every_part(spark):
+    """Headings in capitals stand in the books of one part only; a model without them takes them for garbled."""
+    books = spark.range(200).selectExpr("concat('b', id) book").selectExpr("book", f"pmod(xxhash64(book), {c.HELD}) part").collect()
+    rows = [(r["book"], i, s, "x", "y") for part in range(c.HELD) for r in [x for x in books if x["part"] == part][:4] for i, s in enumerate(SENTENCES)]
+    loud = "LÖCHRIGE ÖFFNETE ÜBER MÜNZEN MÜHLE MÜDER SCHRÄGE SÜSSE GRÜSSTE WÄHREND BLÜTEN HÜTETE FÜRCHTETE FRÜHJAHR BRÜCKE LÖSCHTE VÖLLIGER".split()
+    for part in range(c.HELD):
+        got = rows + [(r["book"], 99, " ".join(loud), "x", "y") for r in [x for x in books if x["part"] == part][:4]]
+        model = c.train(spark.createDataFrame(got, SCHEMA))
+        assert model.margin > c.MARGIN + 1, (part, model.margin)
+
+
+def test_margin_is_the_gain_that_two_in_a_thousand_exceed():
+    model = c.CharModel(*c.np.zeros((4, c.SLOTS), c.np.float32))
+    model.validate(c.Counter({0.0: 2990, 5.0: 4, 6.5: 4, 9.0: 2}), c.Counter({20.0: 6, 6.0: 2, -1.0: 2}))
+    assert model.margin == 5.5 and model.recovered == 0.8
+    model.validate(c.Counter({0.0: 10, 8.0: 1}), c.Counter())
+    assert model.margin == c.MARGIN and model.recovered == 1.0
