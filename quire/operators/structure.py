@@ -78,7 +78,9 @@ def hierarchy(blocks: DataFrame, segmented: bool | None = None) -> DataFrame:
     if segmented is None:
         most = blocks.groupBy("book_id").count().agg(F.max("count")).first()[0]
         segmented = (most or 0) > WHOLE
-    one = blocks.where("book_id is not null and block_ord is not null").groupBy("book_id", "block_ord").agg(F.max_by(F.struct("kind", "text", "level"), F.struct("kind", F.coalesce("text", F.lit("")))).alias("b"))
+    keyed = blocks.where("book_id is not null and block_ord is not null").select("book_id", "block_ord", "kind", "text", "level")
+    # by book from the start: the windows need no other shuffle, nor another sort
+    one = (keyed if segmented else keyed.repartition("book_id")).groupBy("book_id", "block_ord").agg(F.max_by(F.struct("kind", "text", "level"), F.struct("kind", F.coalesce("text", F.lit("")))).alias("b"))
     b = one.select("book_id", "block_ord", "b.kind", F.coalesce("b.text", F.lit("")).alias("text"), F.coalesce("b.level", F.lit(0)).alias("level"))
     b = b.where("kind <> 'paragraph' or trim(text) <> ''").withColumn("seg", F.floor(F.col("block_ord") / SEGMENT))
     return _by_segments(b) if segmented else _by_books(b)

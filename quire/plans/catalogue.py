@@ -114,7 +114,7 @@ def running_heads(spark: SparkSession, d: str) -> DataFrame:
 def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     tree = _tree(spark, d)
     books = read_table(spark, d, "book_specs").select("book_id", "title", F.col("sources").alias("source_files"))
-    return packing.pack(tree, books, SMALL)
+    return packing.pack(tree, books, SMALL, kept=False)  # each query reads one of both, once
 
 
 def pack_chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -201,7 +201,7 @@ def paragraph_cover(spark: SparkSession, d: str) -> DataFrame:
 
 def packed_words(spark: SparkSession, d: str) -> DataFrame:
     """Words of each packed book that the chunks hold, headings left out: all but those of dearer paragraphs."""
-    packed = packing.pack(_tree(spark, d), read_table(spark, d, "book_specs").select("book_id", "title", F.col("sources").alias("source_files")), replace(SMALL, chapter_headings=False, scene_headings=False))[0]
+    packed = packing.pack(_tree(spark, d), read_table(spark, d, "book_specs").select("book_id", "title", F.col("sources").alias("source_files")), replace(SMALL, chapter_headings=False, scene_headings=False), kept=False)[0]
     return packed.groupBy("book_id").agg(F.sum(word_count(F.col("text"))).alias("n_words"), F.sum("n_paragraphs").alias("n_paragraphs"))
 
 
